@@ -32,7 +32,7 @@ def read_edges(spark: SparkSession, path: str, sep: str = r"\s+", nodes: bool =
     lines = spark.read.text(path)
     if nodes:
         return lines.select(F.explode(parts).alias("node")).distinct()
-    return lines.select(parts.getItem(0).alias("src"), parts.getItem(1).alias("dst")).where(F.col("dst").isNotNull())
+    return lines.select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst")).where(F.col("dst").isNotNull())
 
 
 def read_ratings(spark: SparkSession, path: str, user: str = "userId", item: str = "movieId",
