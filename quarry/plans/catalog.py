@@ -82,8 +82,8 @@ def q_pair_similarity(spark, d):
 
 
 def _rec_topk(spark, d):
-    cand = minhash.lsh_candidates(_rec_bands(spark, d), symmetric=True)
-    sims = minhash.pair_similarity(cand, inputs.customer_parts(spark, d))
+    cand = minhash.lsh_candidates(_rec_bands(spark, d))
+    sims = minhash.mirrored(minhash.pair_similarity(cand, inputs.customer_parts(spark, d)))
     return recommend.similar_topk(sims, REC_TOP)
 
 
