@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import DEFAULT_FAMILY, RECOMMENDER_FAMILY
 from quarry.operators import cluster, factor, graph, match, minhash, patterns, recommend, text
 from quarry.plans import inputs
+from quarry.plans.lineage import cut
 
 # Fixed parameters of the registered queries.
 REC_K, REC_BANDS, REC_ROWS, REC_TOP = 50, 10, 5, 3
@@ -50,12 +51,17 @@ def q_vocabulary(spark, d):
 
 
 # -- MinHash / LSH over customer -> parts ------------------------------------
-def _rec_signatures(spark, d):
-    return minhash.minhash(inputs.customer_parts(spark, d), REC_K, RECOMMENDER_FAMILY)
+def _rec_sets(spark, d):
+    """Customer part sets, written once: MinHash, set sizes and intersections all read them."""
+    return cut(inputs.customer_parts(spark, d))
 
 
-def _rec_bands(spark, d):
-    return minhash.lsh_bands(_rec_signatures(spark, d), REC_BANDS, REC_ROWS)
+def _rec_signatures(spark, d, sets=None):
+    return minhash.minhash(sets if sets is not None else _rec_sets(spark, d), REC_K, RECOMMENDER_FAMILY)
+
+
+def _rec_bands(spark, d, sets=None):
+    return minhash.lsh_bands(_rec_signatures(spark, d, sets), REC_BANDS, REC_ROWS)
 
 
 def q_minhash_signature(spark, d):
@@ -75,15 +81,20 @@ def q_lsh_candidates(spark, d):
     return minhash.lsh_candidates(_rec_bands(spark, d))
 
 
+def _rec_candidates(spark, d, sets):
+    """Candidate pairs, written once: the size and element joins both read them."""
+    return cut(minhash.lsh_candidates(_rec_bands(spark, d, sets)))
+
+
 def q_pair_similarity(spark, d):
-    cand = minhash.lsh_candidates(_rec_bands(spark, d))
-    s = minhash.pair_similarity(cand, inputs.customer_parts(spark, d))
+    sets = _rec_sets(spark, d)
+    s = minhash.pair_similarity(_rec_candidates(spark, d, sets), sets)
     return s.select("id_a", "id_b", "inter", "size_a", "size_b", r6(F.col("similarity")).alias("similarity"))
 
 
 def _rec_topk(spark, d):
-    cand = minhash.lsh_candidates(_rec_bands(spark, d))
-    sims = minhash.mirrored(minhash.pair_similarity(cand, inputs.customer_parts(spark, d)))
+    sets = _rec_sets(spark, d)
+    sims = minhash.mirrored(cut(minhash.pair_similarity(_rec_candidates(spark, d, sets), sets)))
     return recommend.similar_topk(sims, REC_TOP)
 
 
@@ -103,8 +114,8 @@ def _doc_matches(spark, d):
 
 
 def q_match_records(spark, d):
-    m = _doc_matches(spark, d)
-    return m.pairs.select("id_a", "id_b", r6(F.col("similarity")).alias("similarity"))
+    pairs = match.matched_pairs(_doc_matches(spark, d))
+    return pairs.select("id_a", "id_b", r6(F.col("similarity")).alias("similarity"))
 
 
 def q_match_groups(spark, d):

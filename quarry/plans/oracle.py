@@ -84,7 +84,11 @@ SELECT "user", item, round(avg(rating), 6) AS rating FROM unseen GROUP BY 1, 2""
 # ---------------------------------------------------------------- document matching
 _K_DOC = C.DOC_BANDS * C.DOC_ROWS
 DOCS = f"""{DOC_TOKENS},
-sets AS (SELECT DISTINCT t.doc_id AS id, v.token_id AS item FROM tok t JOIN vocab v USING (token)),
+sets0 AS (SELECT DISTINCT t.doc_id AS id, v.token_id AS item FROM tok t JOIN vocab v USING (token)),
+skey AS (SELECT id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS k FROM sets0 GROUP BY id),
+cgrp AS (SELECT id, min(id) OVER (PARTITION BY k) AS rep FROM skey),
+copies AS (SELECT id, rep FROM cgrp WHERE id <> rep),
+sets AS (SELECT s.* FROM sets0 s JOIN cgrp c ON c.id = s.id AND c.rep = c.id),
 dh AS (SELECT id, i, min({DEFAULT_FAMILY.sql('item', 'i')}) AS h FROM sets, range(1, {_K_DOC + 1}) t(i) GROUP BY id, i),
 dbands AS (SELECT (i - 1) // {C.DOC_ROWS} AS band, id, string_agg(CAST(h AS VARCHAR), ',' ORDER BY i) AS band_sig
            FROM dh GROUP BY id, (i - 1) // {C.DOC_ROWS}),
@@ -99,15 +103,20 @@ dsim AS (SELECT c.id_a, c.id_b, coalesce(i.inter, 0) / (sa.size + sb.size - coal
          LEFT JOIN dinter i ON i.id_a = c.id_a AND i.id_b = c.id_b),
 dmatch AS (SELECT * FROM dsim WHERE similarity >= {C.DOC_THRESHOLD})
 """
-MATCH_RECORDS = f"WITH {DOCS} SELECT id_a, id_b, round(similarity, 6) AS similarity FROM dmatch"
+MATCH_RECORDS = f"""WITH {DOCS} SELECT id_a, id_b, round(similarity, 6) AS similarity FROM dmatch
+UNION ALL SELECT rep, id, 1.0 FROM copies"""
 MATCH_GROUPS = f"""WITH {DOCS},
 pass AS (SELECT b.* FROM bpairs b JOIN dmatch m ON m.id_a = b.id_a AND m.id_b = b.id_b),
 mem AS (SELECT DISTINCT band, band_sig, member FROM
         (SELECT band, band_sig, id_a AS member FROM pass UNION ALL SELECT band, band_sig, id_b FROM pass)),
+allm AS (SELECT band, band_sig, member FROM mem
+         UNION ALL SELECT m.band, m.band_sig, c.id FROM mem m JOIN copies c ON c.rep = m.member
+         UNION ALL SELECT DISTINCT -1, 'copies of ' || rep, member FROM
+           (SELECT rep, id AS member FROM copies UNION ALL SELECT rep, rep FROM copies)),
 ident AS (SELECT band, band_sig, count(*) AS group_size, min(member) AS group_min,
                  CAST(sum(((member % 2147483647) * 48271 + 11) % 2147483647) AS BIGINT) AS group_hash
-          FROM mem GROUP BY 1, 2)
-SELECT DISTINCT i.group_size, i.group_min, i.group_hash, m.member FROM mem m JOIN ident i USING (band, band_sig)
+          FROM allm GROUP BY 1, 2)
+SELECT DISTINCT i.group_size, i.group_min, i.group_hash, m.member FROM allm m JOIN ident i USING (band, band_sig)
 """
 
 # ---------------------------------------------------------------- ALS, rank 1, item factors start at 1.0
