@@ -70,6 +70,17 @@ def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequenc
     return centres, rounds
 
 
+def kmeans_fit_ml(df: DataFrame, k: int, max_iter: int = 20, tol: float = 1e-4, seed: int = 1,
+                  vec_col: str = "vec") -> list[list[float]]:
+    """MLlib's KMeans (k-means|| initialisation) on the same array column; returns the centres."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    data = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
+    model = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed).fit(data)
+    return [list(map(float, c)) for c in model.clusterCenters()]
+
+
 def centres_frame(spark, centres: Sequence[Sequence[float]]) -> DataFrame:
     schema = T.StructType([T.StructField("cid", T.IntegerType()),
                            T.StructField("centre", T.ArrayType(T.DoubleType()))])

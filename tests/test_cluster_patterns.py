@@ -71,3 +71,12 @@ def test_support_is_monotone(spark):
             sub = s[:i] + s[i + 1:]
             if sub:
                 assert sets[sub] >= c
+
+
+def test_ml_mode_finds_separated_clusters(spark):
+    from quarry.operators.cluster import kmeans_fit_ml
+    rnd = np.random.default_rng(2)
+    X = np.concatenate([rnd.normal(c, 0.1, (20, 2)) for c in (0.0, 5.0)])
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, vec array<double>")
+    centres = sorted(kmeans_fit_ml(df, 2))
+    assert np.allclose(centres, [X[:20].mean(0), X[20:].mean(0)], atol=1e-6)
