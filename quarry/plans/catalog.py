@@ -110,7 +110,7 @@ def q_predict_from_neighbours(spark, d):
 # -- record matching over documents ------------------------------------------
 def _doc_matches(spark, d):
     sets = match.record_sets(inputs.documents(spark, d), "doc_id", ["text"])
-    return match.find_matches(sets, DOC_BANDS, DOC_ROWS, DEFAULT_FAMILY, DOC_THRESHOLD)
+    return match.find_matches(sets, DOC_BANDS, DOC_ROWS, DEFAULT_FAMILY, DOC_THRESHOLD, sets_distinct=True)
 
 
 def q_match_records(spark, d):
