@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.vectors import nearest
-from quarry.plans.lineage import cut
 
 
 def init_centres(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
@@ -47,7 +46,16 @@ def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequenc
     At least one round always runs; an empty cluster keeps its centre.
     Returns ``(centres, rounds)``; see :func:`centres_frame` for a DataFrame.
     """
-    data = cut(df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")))
+    # the points are read once per round: keep them in memory (spilling to disk); a lost
+    # block is re-read from the source, the lineage being one scan and a cast
+    data = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).persist()
+    try:
+        return _lloyd(data, k, converge_dist, init, max_iter, seed)
+    finally:
+        data.unpersist()
+
+
+def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int, seed):
     centres = [list(map(float, c)) for c in (init or init_centres(data, k, "id", "vec", seed))]
     if not centres:
         return centres, 0
