@@ -88,13 +88,13 @@ def _rec_candidates(spark, d, sets):
 
 def q_pair_similarity(spark, d):
     sets = _rec_sets(spark, d)
-    s = minhash.pair_similarity(_rec_candidates(spark, d, sets), sets)
+    s = minhash.pair_similarity(_rec_candidates(spark, d, sets), sets, sets_distinct=True)
     return s.select("id_a", "id_b", "inter", "size_a", "size_b", r6(F.col("similarity")).alias("similarity"))
 
 
 def _rec_topk(spark, d):
     sets = _rec_sets(spark, d)
-    sims = minhash.mirrored(cut(minhash.pair_similarity(_rec_candidates(spark, d, sets), sets)))
+    sims = minhash.mirrored(cut(minhash.pair_similarity(_rec_candidates(spark, d, sets), sets, sets_distinct=True)))
     return recommend.similar_topk(sims, REC_TOP)
 
 
@@ -103,7 +103,9 @@ def q_similar_topk(spark, d):
 
 
 def q_predict_from_neighbours(spark, d):
-    p = recommend.predict_from_neighbours(inputs.customer_part_ratings(spark, d), _rec_topk(spark, d))
+    # the ratings are read twice (neighbour ratings and the user's own items): write them once
+    ratings = cut(inputs.customer_part_ratings(spark, d))
+    p = recommend.predict_from_neighbours(ratings, _rec_topk(spark, d))
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
 
