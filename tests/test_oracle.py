@@ -27,6 +27,17 @@ def test_query_matches_oracle(spark, con, name):
     assert r["values"], r["diff"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF001)
+    ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(ORACLE[name])
+    assert ours == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["node", "rank"]
