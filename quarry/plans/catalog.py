@@ -39,7 +39,8 @@ def q_fingerprint_clusters(spark, d):
 
 
 def _doc_tokens(spark, d):
-    return text.token_rows(text.tokenize(inputs.documents(spark, d), "doc_id", ["text"]))
+    # doc_id is a key of documents: no row-level distinct (a shuffle of all text) is needed
+    return text.token_rows(text.tokenize(inputs.documents(spark, d), "doc_id", ["text"], distinct=False))
 
 
 def q_tokens(spark, d):
