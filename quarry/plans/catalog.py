@@ -23,6 +23,7 @@ GRAPH_ROUNDS = 3
 KMEANS_K, KMEANS_ROUNDS = 10, 2
 ALS_REG, ALS_RANK1_ITERS, ALS_RANK5_ITERS = 0.01, 2, 5
 BASKET_SUPPORT, RULE_CONFIDENCE = 0.02, 0.5
+PAIR_SUPPORT = 0.01
 
 
 def r6(c):
@@ -213,6 +214,12 @@ def q_association_rules(spark, d):
                     r6(F.col("confidence")).alias("confidence"))
 
 
+def q_frequent_pairs(spark, d):
+    b = patterns.baskets(inputs.order_brand_rows(spark, d), "order", "item")
+    f = patterns.frequent_itemsets(b, min_support=PAIR_SUPPORT).where(F.col("size") == 2)
+    return f.select(F.col("items")[0].alias("item_a"), F.col("items")[1].alias("item_b"), "support")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fingerprint_clusters": q_fingerprint_clusters,
     "tokens": q_tokens,
@@ -239,4 +246,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "baskets": q_baskets,
     "frequent_itemsets": q_frequent_itemsets,
     "association_rules": q_association_rules,
+    "frequent_pairs": q_frequent_pairs,
 }

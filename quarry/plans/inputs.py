@@ -100,3 +100,10 @@ def order_type_rows(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     return li.join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("order"), F.col("p_type").alias("item"))
+
+
+def order_brand_rows(spark, sf_dir) -> DataFrame:
+    """``(order, item)``: part brands on each order's lines."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("order"), F.col("p_brand").alias("item"))

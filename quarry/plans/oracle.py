@@ -252,6 +252,13 @@ rr AS (SELECT array_to_string(list_filter(s, lambda x: x <> consequent), '|') AS
 SELECT rr.antecedent, rr.consequent, rr.support, round(rr.support / a.support, 6) AS confidence
 FROM rr JOIN fi a ON a.items = rr.antecedent WHERE rr.support / a.support >= {C.RULE_CONFIDENCE}"""
 
+FREQUENT_PAIRS = f"""WITH ob AS (SELECT DISTINCT l.l_orderkey AS basket, p.p_brand AS item
+                      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+n AS (SELECT count(DISTINCT basket) AS n FROM ob)
+SELECT a.item AS item_a, b.item AS item_b, count(*) AS support FROM ob a JOIN ob b
+  ON a.basket = b.basket AND a.item < b.item
+GROUP BY 1, 2 HAVING count(*) >= ceil({C.PAIR_SUPPORT} * (SELECT n FROM n))"""
+
 
 ORACLE: dict[str, str] = {
     "fingerprint_clusters": FINGERPRINT,
@@ -278,4 +285,5 @@ ORACLE: dict[str, str] = {
     "baskets": BASKETS,
     "frequent_itemsets": FREQUENT_ITEMSETS,
     "association_rules": ASSOCIATION_RULES,
+    "frequent_pairs": FREQUENT_PAIRS,
 }
