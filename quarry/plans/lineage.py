@@ -52,6 +52,4 @@ def partitioned(df: DataFrame, *keys: str) -> DataFrame:
     to meet it.  A lost block is recomputed from the (short) lineage.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartition(n, *keys).persist()
-    out.count()
-    return out
+    return df.repartition(n, *keys).persist()
