@@ -52,4 +52,6 @@ def partitioned(df: DataFrame, *keys: str) -> DataFrame:
     to meet it.  A lost block is recomputed from the (short) lineage.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).persist()
+    out = df.repartition(n, *keys).persist()
+    out.count()  # a cached plan reports its partitioning only once it has been computed
+    return out
