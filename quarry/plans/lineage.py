@@ -44,19 +44,6 @@ class LoopState:
         self._held.clear()
 
 
-def partitioned(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` and persist it (memory, spilling to disk).
-
-    For the loop-invariant side of an iterative join: a persisted table keeps
-    its partitioning, so each round shuffles only the small per-round state
-    to meet it.  A lost block is recomputed from the (short) lineage.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartition(n, *keys).persist()
-    out.count()  # a cached plan reports its partitioning only once it has been computed
-    return out
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the default parallelism if it has fewer partitions.
 
