@@ -128,7 +128,8 @@ def q_match_groups(spark, d):
 
 # -- ALS over customer x brand -----------------------------------------------
 def _als(spark, d, rank, iters, init_value):
-    ratings = inputs.customer_brand_ratings(spark, d)
+    # the ratings feed the id lists, the non-zero table, the RMSE and the predictions: write them once
+    ratings = cut(inputs.customer_brand_ratings(spark, d))
     return factor.als_fit(ratings, rank=rank, iterations=iters, reg=ALS_REG, init_value=init_value), ratings
 
 
