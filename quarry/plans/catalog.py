@@ -133,6 +133,20 @@ def _als(spark, d, rank, iters, init_value):
     return factor.als_fit(ratings, rank=rank, iterations=iters, reg=ALS_REG, init_value=init_value), ratings
 
 
+def q_als_half_step(spark, d):
+    """One user half-step from item factors of 1.0 (rank 1): Xᵀr per user, the Gram, the new factor."""
+    ratings = cut(inputs.customer_brand_ratings(spark, d))
+    nonzero = ratings.where(F.col("rating") != 0).select("user", "item", F.col("rating").cast("double").alias("rating"))
+    items = factor.init_factors(ratings.select(F.col("item").alias("id")).distinct(), 1, value=1.0)
+    g, n = factor.gram(items, 1)
+    users = ratings.select(F.col("user").alias("id")).distinct()
+    b = users.join(factor.rhs(nonzero, "user", "item", items, 1).withColumnRenamed("user", "id"), "id", "left") \
+        .fillna(0.0)
+    new = factor.solve(b, 1, ALS_REG, g, n)
+    return b.join(new, "id").select(F.col("id").alias("user"), r6(F.col("b0")).alias("xtr"),
+                                    r6(F.lit(float(g[0, 0]))).alias("gram"), r6(F.col("f0")).alias("f0"))
+
+
 def q_als_rank1(spark, d):
     model, _ = _als(spark, d, 1, ALS_RANK1_ITERS, 1.0)
     return model.factors().select("side", F.col("id").cast("string").alias("id"), r6(F.col("f0")).alias("f0"))
@@ -234,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_from_neighbours": q_predict_from_neighbours,
     "match_records": q_match_records,
     "match_groups": q_match_groups,
+    "als_half_step": q_als_half_step,
     "als_rank1": q_als_rank1,
     "als_rmse": q_als_rmse,
     "als_predict": q_als_predict,

@@ -137,6 +137,11 @@ u2 AS (SELECT us.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM v1) + {_REG} *
 v2 AS (SELECT it.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM u2) + {_REG} * (SELECT n FROM nu)) AS f
        FROM it LEFT JOIN (SELECT item, sum(rating * u.f) AS b FROM nz JOIN u2 u ON u.id = nz."user" GROUP BY 1) b ON b.item = it.id)
 """
+ALS_HALF_STEP = f"""WITH {ALS},
+xtr AS (SELECT us.id, coalesce(b.b, 0) AS b FROM us LEFT JOIN
+        (SELECT "user", sum(rating * v.f) AS b FROM nz JOIN v0 v ON v.id = nz.item GROUP BY 1) b ON b."user" = us.id)
+SELECT x.id AS "user", round(x.b, 6) AS xtr, round((SELECT sum(f * f) FROM v0), 6) AS gram, round(u.f, 6) AS f0
+FROM xtr x JOIN u1 u ON u.id = x.id"""
 ALS_RANK1 = f"""WITH {ALS} SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, round(f, 6) AS f0 FROM u2
 UNION ALL SELECT 'item', CAST(id AS VARCHAR), round(f, 6) FROM v2"""
 ALS_RMSE = f"""WITH {ALS},
@@ -273,6 +278,7 @@ ORACLE: dict[str, str] = {
     "predict_from_neighbours": PREDICT,
     "match_records": MATCH_RECORDS,
     "match_groups": MATCH_GROUPS,
+    "als_half_step": ALS_HALF_STEP,
     "als_rank1": ALS_RANK1,
     "als_rmse": ALS_RMSE,
     "als_predict": ALS_PREDICT,
