@@ -1,4 +1,4 @@
-"""Readers for the reference's input shapes, all through ``spark.read``.
+"""Readers for the original jobs' input shapes, all through ``spark.read``.
 
 Text inputs become typed DataFrames with built-in string functions; no line
 ever passes through Python.  Casts are ANSI ``cast`` (a bad value fails the

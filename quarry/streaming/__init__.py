@@ -1,4 +1,4 @@
-"""The reference's stateless operators applied to Structured Streaming DataFrames.
+"""The original jobs' stateless operators applied to Structured Streaming DataFrames.
 
 The fingerprint key, tokenising and nearest-centre assignment are plain
 column expressions, so they run unchanged on a streaming DataFrame.  The one
