@@ -1,8 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from quarry.operators.text import fingerprint_clusters
 from quarry.sources.readers import read_basket_rows, read_edges, read_lines, read_ratings, read_records, read_vectors
 from quarry.sources.writers import write_clusters, write_ratings, write_rules
