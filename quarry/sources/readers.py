@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def _cast(c, to: str, lenient: bool):
-    return F.try_cast(c, to) if lenient else c.cast(to)  # type: ignore[attr-defined]
+    return c.try_cast(to) if lenient else c.cast(to)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -66,3 +66,19 @@ def test_cluster_and_rule_writers(spark):
     rules = spark.createDataFrame([([1, 2], 3, 0.5)], "antecedent array<long>, consequent long, confidence double")
     write_rules(rules, os.path.join(d, "rules"))
     assert spark.read.text(os.path.join(d, "rules")).first().value == "1,2 -> 3 0.5"
+
+
+def test_ratings_strict_and_lenient_casts(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    d = scratch()
+    p = os.path.join(d, "bad.csv")
+    write_text(p, ["userId,movieId,rating", "1,10,4.0", "x,20,3.0"])
+    got = sorted((tuple(r) for r in read_ratings(spark, p, lenient=True).collect()), key=str)
+    assert got == [(1, 10, 4.0), (None, 20, 3.0)]
+    v = os.path.join(d, "v.txt")
+    write_text(v, ["1.0 oops"])
+    assert read_vectors(spark, v, lenient=True).first().vec == [1.0, None]
+    with pytest.raises(PySparkException):
+        read_ratings(spark, p).collect()  # ANSI cast: a malformed id fails the job, as the original parse did
