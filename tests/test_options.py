@@ -97,3 +97,32 @@ def test_streaming_tokens_helper(spark):
     df = spark.createDataFrame([("Hello, World",)], "text string")
     assert with_tokens(df).first().tokens == ["hello", "world"]
     assert with_tokens(df).select(F.size("tokens")).first()[0] == 2
+
+
+def test_custom_columns_and_helpers(spark):
+    from quarry.functions.hashing import RECOMMENDER_FAMILY
+    from quarry.operators.minhash import minhash, set_sizes
+    from quarry.operators.recommend import similar_topk
+    from quarry.operators.text import encode_tokens, vocabulary
+
+    s = spark.createDataFrame([(7, 3), (7, 5), (7, 5), (8, 1)], "cust long, part long")
+    sig = {r.id: r.sig for r in minhash(s, 3, RECOMMENDER_FAMILY, id_col="cust", item_col="part").collect()}
+    assert sig[8] == [(3 * 1 + 11 * i) % 100 for i in (1, 2, 3)]
+    assert {r.id: r.size for r in set_sizes(s, "cust", "part").collect()} == {7: 2, 8: 1}
+    sims = spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.5)], "u long, n long, s double")
+    top = similar_topk(sims, 1, user_col="u", nbr_col="n", sim_col="s").collect()
+    assert [(r.user, r.neighbour, r.rank) for r in top] == [(1, 2, 1)]
+    toks = spark.createDataFrame([(1, 0, "b"), (1, 1, "a"), (2, 0, "b")], "id long, pos int, token string")
+    enc = sorted(tuple(r) for r in encode_tokens(toks, vocabulary(toks)).collect())
+    assert enc == [(1, 0, 2), (1, 1, 1), (2, 0, 2)]
+
+
+def test_match_records_without_names_and_explicit_init(spark):
+    from quarry.operators.match import match_records
+    docs = spark.createDataFrame([(1, "the quick brown fox"), (2, "The quick brown fox!"), (3, "other words here")],
+                                 "doc_id long, text string")
+    got = {(r.id_a, r.id_b): r.similarity for r in match_records(docs, "doc_id", ["text"]).collect()}
+    assert got == {(1, 2): 1.0}
+    pts = spark.createDataFrame([(0, [0.0]), (1, [1.0]), (2, [10.0]), (3, [11.0])], "id long, vec array<double>")
+    centres, _ = kmeans_fit(pts, 2, converge_dist=0.0, init=[[0.0], [11.0]])
+    assert sorted(c[0] for c in centres) == [0.5, 10.5]
