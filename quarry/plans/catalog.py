@@ -189,6 +189,16 @@ def q_edge_betweenness(spark, d):
     return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
 
 
+def q_lane_bfs_paths(spark, d):
+    b = graph.bfs_paths(inputs.nation_edges(spark, d, top=None))
+    return b.select("source", "node", "dist", r6(F.col("sigma")).alias("sigma"))
+
+
+def q_lane_edge_betweenness(spark, d):
+    b = graph.edge_betweenness(inputs.nation_edges(spark, d, top=None))
+    return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
+
+
 # -- k-means over embeddings -------------------------------------------------
 def _kmeans(spark, d):
     vecs = inputs.embedding_vectors(spark, d)
@@ -257,6 +267,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hits": q_hits,
     "bfs_paths": q_bfs_paths,
     "edge_betweenness": q_edge_betweenness,
+    "lane_bfs_paths": q_lane_bfs_paths,
+    "lane_edge_betweenness": q_lane_edge_betweenness,
     "kmeans_fit": q_kmeans_fit,
     "kmeans_assign": q_kmeans_assign,
     "baskets": q_baskets,
