@@ -25,3 +25,17 @@ def test_same_result_for_any_shuffle_partitioning(spark, name):
     finally:
         spark.conf.set(key, old)
     assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("name", ["match_groups", "pagerank", "als_rank1", "lsh_candidates"])
+def test_same_result_without_aqe(spark, name):
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    try:
+        results = []
+        for v in ("true", "false"):
+            spark.conf.set(key, v)
+            results.append(_rows(entry.queries()[name](spark, SF001)))
+    finally:
+        spark.conf.set(key, old)
+    assert results[0] == results[1]
