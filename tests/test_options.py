@@ -126,3 +126,18 @@ def test_match_records_without_names_and_explicit_init(spark):
     pts = spark.createDataFrame([(0, [0.0]), (1, [1.0]), (2, [10.0]), (3, [11.0])], "id long, vec array<double>")
     centres, _ = kmeans_fit(pts, 2, converge_dist=0.0, init=[[0.0], [11.0]])
     assert sorted(c[0] for c in centres) == [0.5, 10.5]
+
+
+def test_documented_edge_behaviours(spark):
+    from quarry.operators.graph import pagerank
+    df = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    with pytest.raises(ValueError):
+        hits(df, 0)
+    got = {r.node: r.rank for r in pagerank(df, 1, damping=0.5).collect()}
+    assert got == {"a": 1.0, "b": 1.0}  # 0.5 + 0.5 * 1.0, teleport exact
+    got = {r.node: r.rank for r in pagerank(spark.createDataFrame([("a", "b")], "src string, dst string"),
+                                            1, damping=0.3).collect()}
+    assert got == {"b": 0.7 + 0.3 * 1.0}
+    pts = spark.createDataFrame([(0, [0.0]), (1, [2.0])], "id long, vec array<double>")
+    centres, rounds = kmeans_fit(pts, 1, converge_dist=5.0)
+    assert rounds == 1 and centres == [[1.0]]
