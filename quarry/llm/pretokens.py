@@ -50,42 +50,64 @@ def compiled(pattern: str):
 
 
 class _Memo(dict):
-    """A dict that computes what it lacks; it starts anew at ``limit`` entries, which changes no result."""
+    """A dict that computes what it lacks and keeps up to ``limit`` results.
+
+    Frequent keys come early, so a full memo keeps what it has; after ``limit``
+    more misses it starts anew, as the texts have changed.  No result depends on it.
+    """
 
     def __init__(self, make: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.passed = make, limit, 0
 
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value
+        if len(self) < self.limit:
+            self[key] = value
+        else:
+            self.passed += 1
+            if self.passed >= self.limit:
+                self.clear()
+                self.passed = 0
         return value
 
 
+class _OddSpace(Exception):
+    """White space that a piece may not hold."""
+
+
 class WordEncoder:
     """Whole texts to ids through memos; ``encode_word`` gives the ids of one match of
     the pattern as little-endian bytes, and so does :meth:`encode` for a text."""
 
-    #: White space other than single spaces and line ends, or next to one.
-    _odd = re.compile(r"[ \n](?=\s)|[^\S \n]|[\x1c-\x1f]|^\s|\s\Z")
-
-    def __init__(self, pattern: str, encode_word: Callable[[str], bytes], limit: int = 700_000):
+    def __init__(self, pattern: str, encode_word: Callable[[str], bytes], limit: int = 1_000_000):
         find = compiled(pattern).findall
-        word = _Memo(encode_word, limit).__getitem__
-        self.pattern_ids = lambda t: b"".join(map(word, find(t)))
-        self.spaced = _Memo(lambda p: self.pattern_ids(" " + p), limit)
-        self.first = _Memo(self.pattern_ids, limit)
+        self.encode_word = encode_word
+        word = self.word = _Memo(encode_word, limit // 4)
+        self.pattern_ids = lambda t: b"".join(map(word.__getitem__, find(t)))
+        self.pieces = _Memo(self._piece, limit)
+        self.heads = _Memo(lambda p: self._checked(p, ""), 10_000)
+
+    def _checked(self, piece: str, lead: str) -> bytes:
+        """A piece with the white space before it; letters are one match, and so is a mark after letters."""
+        if piece.isalpha():
+            return self.encode_word(lead + piece)
+        if piece.split() != [piece]:
+            raise _OddSpace
+        if lead and piece[-1] in ".,;:!?" and piece[:-1].isalpha():
+            return self.pieces[piece[:-1]] + self.word[piece[-1]]
+        return self.pattern_ids(lead + piece)
+
+    def _piece(self, piece: str) -> bytes:
+        if piece[:1] == "\n":  # the first piece of a line
+            return self.word["\n"] + self._checked(piece[1:], "")
+        return self._checked(piece, " ")
 
     def encode(self, text: str) -> bytes:
-        if self._odd.search(text):
+        if not text:
+            return b""
+        head, *rest = text.replace("\n", " \n").split(" ")
+        try:
+            return self.heads[head] + b"".join(map(self.pieces.__getitem__, rest))
+        except _OddSpace:
             return self.pattern_ids(text)
-        out, spaced, first = [], self.spaced.__getitem__, self.first
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                out.append(first["\n"])
-            parts = iter(line.split(" "))
-            out.append(first[next(parts)])
-            out.extend(map(spaced, parts))
-        return b"".join(out)

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from quarry.llm.binary_sink import write_blobs
+from quarry.llm.common import strings
 from quarry.llm.pretokens import WordEncoder, remembered
 
 RECORD = "shard int, place long, doc_id {id_type}, n_tokens long"
@@ -49,10 +50,10 @@ class LibraryTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        kind = "<u4" if self.wide else "<u2"
-        encode = self.tokenizer.encode
+        self.kind = "<u4" if self.wide else "<u2"
+        encode = self.tokenizer.encode_batch_fast
         self.encode = WordEncoder(
-            pattern, lambda w: np.array(encode(w, add_special_tokens=False).ids, kind).tobytes()).encode
+            pattern, lambda w: np.array(encode([w], add_special_tokens=False)[0].ids, self.kind).tobytes()).encode
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int,
@@ -75,7 +76,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, pattern: str,
         for b in batches:
             if not b.num_rows:
                 continue
-            blobs = [tok.encode(t or "") + end for t in b.column("text").to_pylist()]
+            blobs = [tok.encode(t) + end for t in strings(b.column("text"))]
             ids = ["" if i is None else str(i) for i in b.column("doc_id").to_pylist()]
             recs = [f"{shard},{place + k},{i},{len(x) // size}\0".encode() for k, (i, x) in enumerate(zip(ids, blobs))]
             n = len(blobs)
