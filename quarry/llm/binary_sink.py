@@ -19,16 +19,17 @@ from pyspark.sql import functions as F
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 
 
-def gzip_member(data: bytes, level: int = 5) -> bytes:
+def gzip_member(data: bytes, level: int = 3) -> bytes:
     out = gzip.compress(data, level, mtime=0)
     return out if out[-1] == 0 else out + EMPTY_MEMBER
 
 
-def write_blobs(df: DataFrame, path: str, blob: str, partition_by: str | None = None) -> None:
+def write_blobs(df: DataFrame, path: str, blob: str, partition_by: str | None = None,
+                records_per_file: int = 0) -> None:
     """Write the binary column ``blob`` of ``df``; every blob must end in a NUL byte."""
     value = F.expr(f"cast(substring({blob}, 1, greatest(octet_length({blob}) - 1, 0)) as string)")
     checked = F.when(F.expr(f"substring({blob}, octet_length({blob}), 1) = X'00'"), value).otherwise(
         F.raise_error(F.lit("a blob must end in a NUL byte")))
     cols = [checked.alias("value")] + ([F.col(partition_by)] if partition_by else [])
-    writer = df.select(*cols).write.option("lineSep", "\u0000")
+    writer = df.select(*cols).write.option("lineSep", "\u0000").option("maxRecordsPerFile", records_per_file)
     (writer.partitionBy(partition_by) if partition_by else writer).text(path)

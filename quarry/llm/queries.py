@@ -8,18 +8,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import byte_bpe, quality_rules, token_files
+from quarry.llm import (byte_bpe, curriculum, kneser_ney, ngram_join, ppm, quality_rules, sharding, token_files, warc,
+                        winnowing)
 from quarry.llm.common import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+SHARD_BYTES = 1 << 20
+#: Weights of the sources in turn, and how their rates change over the training time (the heaviest early).
+WEIGHTS = [5, 2, 1]
+SLOPES = [0.5, 0.0, -0.5]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.deduplicate(table(spark, sf_dir, "pages"), work_dir(spark, "warc"), min_bytes=0)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"))
+
+
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("row.doc_id", "row.lang", "n_tokens", "log10_prob", "perplexity", "threshold", "kept")
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(table(spark, sf_dir, "documents"), "doc_id", "text", SHARD_BYTES, keep=["doc_id"])
+    return out.select("row.doc_id", "bytes", "shard", "depth", "page", "shard_bytes", "shard_rows", "oversize")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS),
                                       public_tokenizers.PATTERN, keep=["doc_id"])
@@ -32,16 +56,42 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", F.round("posterior", 9).alias("posterior"), "kept")
 
 
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = curriculum.mix(table(spark, sf_dir, "documents"), WEIGHTS, budget=1.5, max_repeats=2, slopes=SLOPES, keep=["doc_id"])
+    return out.select("row.doc_id", "size", "source_size", "target", "taken",
+                      F.round(F.get("positions", F.lit(0)), 9).alias("position"),
+                      F.round(F.get("positions", F.lit(1)), 9).alias("second_position"))
+
+
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                      winnowing.digest(F.col("fingerprint")).alias("fingerprint"),
+                      winnowing.digest(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                     work_dir(spark, "token-files"), public_tokenizers.path(TOKENIZER),
                                     public_tokenizers.PATTERN, END_ID)
 
 
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learns = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2
+    return ppm.score_texts(table(spark, sf_dir, "documents"), learns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_revisits": op1_warc_revisits,
+    "op2_kneser_ney": op2_kneser_ney,
+    "op3_ngram_join": op3_ngram_join,
+    "op4_extendible_shards": op4_extendible_shards,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_quality_rules": op6_quality_rules,
+    "op7_curriculum_mix": op7_curriculum_mix,
+    "op8_winnowing": op8_winnowing,
     "op9_token_files": op9_token_files,
+    "op10_ppm": op10_ppm,
 }
 
 ORACLE: dict[str, str] = {}
