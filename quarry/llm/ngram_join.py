@@ -10,7 +10,9 @@ of a node's tokens on average; nodes that share a sampled token share a bucket.
 Buckets of up to ``limit`` nodes are compared outright.  Larger ones are split
 on further sampled tokens, level by level.  What is still larger after
 ``MAX_DEPTH`` levels is cut into blocks that are compared block by block, so no
-size is left out and no task holds more than two blocks.  Each path keeps a pair
+size is left out and no task holds more than two blocks.  A split that keeps
+half of a bucket together shows a dense group, which further splits would only
+copy; it goes to the blocks at once.  Each path keeps a pair
 of the threshold similarity with a probability that :func:`kept_per_run` gives;
 runs repeat until the target recall is met.
 
@@ -162,38 +164,40 @@ def first_buckets(nodes: DataFrame, runs: int) -> DataFrame:
 
 
 def next_buckets(members: DataFrame) -> DataFrame:
-    """Splits of ``(bucket, node, sig)`` on further sampled tokens."""
+    """Splits of ``(bucket, node, n, sig)`` on further sampled tokens; ``parent`` is the size of the bucket split."""
+    schema = T.StructType([*_MEMBER.fields, T.StructField("parent", T.LongType())])
+
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             salt = _mixed(b.column("bucket").to_numpy().view(np.uint64) + _P)[:, None]
             row, bucket = _sampled(_signatures(b.column("sig")), salt)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), b.column("node").take(pa.array(row))], names=["bucket", "node"])
-    return members.select("bucket", "node", "sig").mapInArrow(run, _MEMBER)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), b.column("node").take(at), b.column("n").take(at)],
+                                             names=schema.fieldNames())
+    return members.select("bucket", "node", "n", "sig").mapInArrow(run, schema)
 
 
 def leaf_members(nodes: DataFrame, runs: int, limit: int) -> DataFrame:
     """``(leaf, node)``: the small buckets of all paths with at least two members."""
-    level = first_buckets(nodes, runs)
+    level = first_buckets(nodes, runs).withColumn("parent", F.lit(None).cast("long"))
     leaves = None
     for depth in range(MAX_DEPTH + 1):
         sizes = staged(level.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-sizes")
-        counted = level.join(sizes, "bucket")
-        big_sizes = sizes.where(F.col("n") > limit)
-        small = staged(counted.where(F.col("n") <= limit).select(F.col("bucket").alias("leaf"), "node"), "join-leaves")
-        leaves = small if leaves is None else leaves.union(small)
-        if big_sizes.isEmpty():
+        live = staged(level.join(sizes, "bucket"), "join-live")
+        big = live.where(F.col("n") > limit)
+        dense = F.lit(True) if depth == MAX_DEPTH else F.coalesce(2 * F.col("n") > F.col("parent"), F.lit(False))
+        blocks = (big.where(dense).withColumn("k", F.ceil(F.col("n") / F.lit(limit)).cast("int"))
+                  .withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+                  .select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), "node"))
+        found = live.where(F.col("n") <= limit).select(F.col("bucket").alias("leaf"), "node").union(blocks)
+        leaves = found if leaves is None else leaves.union(found)
+        split = big.where(~dense)
+        if split.isEmpty():
             return leaves
-        big = counted.where(F.col("n") > limit)
-        if depth == MAX_DEPTH:
-            blocks = F.ceil(F.col("n") / F.lit(limit)).cast("int")
-            own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
-            cut = (big.withColumn("k", blocks).withColumn("own", own)
-                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-                   .select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), "node"))
-            return leaves.union(staged(cut, "join-blocks"))
-        level = staged(next_buckets(big.join(nodes.select("node", "sig"), "node")), "join-level")
+        level = staged(next_buckets(split.join(nodes.select("node", "sig"), "node")), "join-level")
     return leaves
 
 
@@ -217,10 +221,10 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 
 def _met_before(paths: list[np.ndarray], leaf: int) -> np.ndarray:
-    """For every two members, whether they share a bucket with a lower key than this one."""
-    m = len(paths)
+    """For every two members, whether they share a bucket whose key has a lower high half than this one's."""
+    m, leaf = len(paths), np.int32(leaf >> 32)
     lower = [p[p < leaf] for p in paths]
-    flat = np.concatenate(lower) if m else np.empty(0, np.int64)
+    flat = np.concatenate(lower) if m else np.empty(0, np.int32)
     if not len(flat):
         return np.zeros((m, m), bool)
     keys, col = np.unique(flat, return_inverse=True)
@@ -244,14 +248,14 @@ def close_members(members: DataFrame, threshold: float) -> DataFrame:
             m = g.num_rows
             if m < 2:
                 continue
-            sig = np.frombuffer(b"".join(g.column("low").to_pylist()), np.uint16).reshape(m, HASHES)
+            sig = np.frombuffer(b"".join(g.column("low").to_pylist()), np.uint8).reshape(m, HASHES)
             close = np.zeros((m, m), bool)
             for i in range(m - 1):
                 close[i, i + 1:] = (sig[i + 1:] == sig[i]).sum(axis=1) >= least
             if not close.any():
                 continue
             leaf = g.column("leaf")[0].as_py()
-            paths = [np.array(p, np.int64) for p in g.column("paths").to_pylist()]
+            paths = [np.array(p, np.int32) for p in g.column("paths").to_pylist()]
             close &= ~_met_before(paths, leaf)
             keep = np.flatnonzero(close.any(0) | close.any(1))
             if len(keep):
@@ -286,7 +290,7 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
             held = g.column("shingles").to_pylist()
             sets = [np.frombuffer(held[i], np.uint64) for i in order]
             paths = g.column("paths").to_pylist()
-            paths = [np.array(paths[i], np.int64) for i in order]
+            paths = [np.array(paths[i], np.int32) for i in order]
             sizes = np.array([len(s) for s in sets], np.float64)
             keys, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
             row = np.repeat(np.arange(m), sizes.astype(np.int64))
@@ -354,7 +358,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_nodes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, limit: int = 400, id_col: str = "doc_id",
+def similar_nodes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, limit: int = 2_000, id_col: str = "doc_id",
                   text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(id, node)`` of every row, and per node ``(node, first_id, copies, label, links)``; ``label`` is the
     lowest node of its group of near-duplicates, ``links`` counts the linked documents of other nodes."""
@@ -362,12 +366,13 @@ def similar_nodes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999
     nodes = staged(rows.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
                                             F.first("sig").alias("sig")), "join-nodes")
     leaves = leaf_members(nodes, runs_for(threshold, recall), limit)
-    paths = leaves.groupBy("node").agg(F.sort_array(F.collect_set("leaf")).alias("paths"))
+    paths = leaves.groupBy("node").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
 
-    # the low halves of the 32-bit tokens are enough to compare sketches
-    low = F.expr("concat(" + ", ".join(f"substring(sig, {4 * i + 1}, 2)" for i in range(HASHES)) + ")")
-    carried = paths.join(nodes.select("node", low.alias("low")), "node").select("node", "paths", "low")
-    members = carried.select(F.explode("paths").alias("leaf"), "node", "paths", "low")
+    # a byte of every token is enough to compare sketches, and half of a path's key to tell paths apart
+    low = F.expr("concat(" + ", ".join(f"substring(sig, {4 * i + 1}, 1)" for i in range(HASHES)) + ")")
+    carried = staged(paths.join(nodes.select("node", low.alias("low")), "node").select(
+        "node", "leaves", F.transform("leaves", lambda p: F.shiftright(p, 32).cast("int")).alias("paths"), "low"), "join-carried")
+    members = carried.select(F.explode("leaves").alias("leaf"), "node", "paths", "low")
     close = staged(close_members(members, threshold), "join-close")
     sets = node_sets(docs, close.select("node").distinct(), text_col)
     full = close.join(sets, "node").join(nodes.select("node", "copies"), "node")
