@@ -45,7 +45,7 @@ from quarry.llm.pretokens import remembered
 START, END = 0xFE, 0xFF
 END_WORD = b"\n"  # no word holds a line end
 HOT = 1 << 16
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def tokens(text: str) -> list[bytes]:
@@ -101,7 +101,7 @@ def corpus_counts(train: DataFrame, order: int, text_col: str = "text") -> DataF
                 held += len(keys)
                 buffer.clear()
                 size = 0
-            if held > 4 * CHUNK:
+            if held > 3 * CHUNK:
                 parts[:] = [_summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))]
                 held = len(parts[0][0])
 
@@ -114,10 +114,10 @@ def corpus_counts(train: DataFrame, order: int, text_col: str = "text") -> DataF
                 size += len(buffer[-1])
                 if size > CHUNK:
                     flush_buffer()
-            if len(words) > 500_000:
+            if len(words) > 250_000:
                 yield batch(0, word_keys(list(words)), np.fromiter(words.values(), np.int64, len(words)))
                 words.clear()
-            if held > 3 * CHUNK:  # after merging there are that many different ones: send them on
+            if held > 2 * CHUNK:  # so many are different: send them on
                 yield batch(1, *_summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])))
                 parts.clear()
                 held = 0
@@ -197,9 +197,9 @@ class Trie:
         self._hash_top()
 
     def _hash_top(self) -> None:
-        """Open addressing over the grams of the highest order, a quarter full at most."""
+        """Open addressing over the grams of the highest order, half full at most."""
         keys = self.keys[-1]
-        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
+        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
         self.shift = np.uint64(64 - bits)
         self.slots = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.value = np.zeros(1 << bits, np.float32)
@@ -269,19 +269,22 @@ class Trie:
     def text_scores(self, token_lists: list[list[bytes]]) -> np.ndarray:
         """log10 probability of each token sequence with its end symbol."""
         pad, end = bytes([START]) * self.order, bytes([END])
-        out = np.empty(len(token_lists))
-        i = 0
-        while i < len(token_lists):
-            bodies, lengths = [], []
-            while i + len(bodies) < len(token_lists) and sum(lengths) < CHUNK:
-                body = b" ".join(token_lists[i + len(bodies)]) + end
-                bodies.append(pad + body)
-                lengths.append(len(body))
-            logs = self.log_probs(grams(b"".join(bodies), self.order))
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            out[i:i + len(bodies)] = np.add.reduceat(logs, starts) / np.log(10.0)
-            i += len(bodies)
-        return out
+        bodies = [b" ".join(t) + end for t in token_lists]
+        logs = self.log_probs(grams(b"".join(pad + x for x in bodies), self.order))
+        starts = np.cumsum([0, *map(len, bodies[:-1])])
+        return np.add.reduceat(logs, starts) / np.log(10.0)
+
+
+def portions(texts: list[str], chars: int = CHUNK):
+    """Stretches of a list of texts of about so many characters, each text whole."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > chars:
+            yield texts[start:i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
 
 
 # --- scoring ---------------------------------------------------------------------------------
@@ -314,34 +317,39 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, max_entries: int =
         hot_logs = dict(zip(keys.tolist(), (np.log10(c + 1.0) - base_den).tolist()))
         seen: dict[bytes, int] = {}
 
+        def one(w, n_tokens, known, base, cold_keys, cold_n):
+            """The base of one text: hot words at once, the others as arrays for the join."""
+            tf = Count(w)
+            tf[END_WORD] += 1
+            new = [x for x in tf if x not in seen]
+            if len(seen) + len(new) > 300_000:
+                seen.clear()
+                new = list(tf)
+            seen.update(zip(new, word_keys(new).tolist()))
+            total_log, k, ck, cn = 0.0, 0, [], []
+            for x, m in tf.items():
+                log = hot_logs.get(key := seen[x])
+                if log is None:
+                    ck.append(key)
+                    cn.append(m)
+                else:
+                    total_log += m * log
+                    k += m
+            n_tokens.append(len(w) + 1)
+            known.append(k)
+            base.append(total_log)
+            cold_keys.append(np.array(ck, np.int64))
+            cold_n.append(np.array(cn, np.int32))
+
         def fn(col):
-            lists = [tokens(t) for t in strings(col)]
-            scores = trie.text_scores(lists)
-            n_tokens, known, base, cold_keys, cold_n = [], [], [], [], []
-            for w in lists:
-                tf = Count(w)
-                tf[END_WORD] += 1
-                new = [x for x in tf if x not in seen]
-                if len(seen) + len(new) > 600_000:
-                    seen.clear()
-                    new = list(tf)
-                seen.update(zip(new, word_keys(new).tolist()))
-                total_log, k, ck, cn = 0.0, 0, [], []
-                for x, m in tf.items():
-                    log = hot_logs.get(key := seen[x])
-                    if log is None:
-                        ck.append(key)
-                        cn.append(m)
-                    else:
-                        total_log += m * log
-                        k += m
-                n_tokens.append(len(w) + 1)
-                known.append(k)
-                base.append(total_log)
-                cold_keys.append(ck)
-                cold_n.append(cn)
+            scores, n_tokens, known, base, cold_keys, cold_n = [], [], [], [], [], []
+            for part in portions(strings(col)):
+                lists = [tokens(t) for t in part]
+                scores.append(trie.text_scores(lists))
+                for w in lists:
+                    one(w, n_tokens, known, base, cold_keys, cold_n)
             return [pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(scores, pa.float64()), pa.array(cold_keys, pa.list_(pa.int64())),
+                    pa.array(np.concatenate(scores), pa.float64()), pa.array(cold_keys, pa.list_(pa.int64())),
                     pa.array(cold_n, pa.list_(pa.int32()))]
         return fn
 
