@@ -85,48 +85,46 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def followers(keys: DataFrame) -> DataFrame:
-    """``(id, h, next_id, next_h)``: each distinct (id, text hash) with the next one in descending
-    order, the first after the last.  Only keys are sorted: a range partitioning, a
+    """``(key, next)``: each distinct key ``struct<id, h>`` with the next one in descending order of
+    ids, the first after the last.  Only keys are sorted: a range partitioning, a
     neighbour inside each partition, and one row per partition for the seams."""
-    order = [F.desc_nulls_last("id"), F.asc("h")]
-    ranged = (keys.distinct().repartitionByRange(*order)
-              .select("id", "h", F.spark_partition_id().alias("part")))
+    order = [F.col("key.id").desc_nulls_last(), F.col("key.h").asc()]
+    ranged = keys.select("key").distinct().repartitionByRange(*order).select("key", F.spark_partition_id().alias("part"))
     parts = staged(ranged, "winnow-keys")
     inside = Window.partitionBy("part").orderBy(*order)
-    near = parts.select("*", F.lead(F.struct("id", "h")).over(inside).alias("next"), F.row_number().over(inside).alias("rn"))
-    heads = near.where("rn = 1").select("part", F.struct("id", "h").alias("head"))
+    near = parts.select("*", F.lead("key").over(inside).alias("next"), F.row_number().over(inside).alias("rn"))
+    heads = near.where("rn = 1").select("part", F.col("key").alias("head"))
     # one row per partition
     seam = Window.orderBy("part")
     first = F.first("head").over(seam.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    seams = heads.select(F.col("part").alias("p"), F.coalesce(F.lead("head").over(seam), first).alias("seam"))
-    return (near.join(F.broadcast(seams), near.part == seams.p)
-            .select("id", "h", F.coalesce("next", "seam").alias("n")).select("id", "h", F.col("n.id").alias("next_id"), F.col("n.h").alias("next_h")))
+    seams = heads.select("part", F.coalesce(F.lead("head").over(seam), first).alias("seam"))
+    return near.join(F.broadcast(seams), "part").select("key", F.coalesce("next", "seam").alias("next"))
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
     """Fingerprints of every text and of its edited text (its last third replaced by the
     beginning of the next document's), with the likeness to the edited and the next text.
 
-    Texts move once, to their key; a follower's beginning and fingerprint move once
+    Texts move once, to their key; a follower's beginning and its hashes move once
     more, to the key before it.  Equal rows are one document here: they have
     the same follower and the same result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    pairs = staged(followers(rows.select("id", "h")), "winnow-pairs")
-    need = staged(rows.select("id", "h", F.floor(F.length("text") / 3).alias("third")).distinct(), "winnow-lengths")
-    same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
+    # a struct as the key: null ids are equal in it, and every join and grouping shares its partitioning
+    key_type = f"struct<id:{docs.schema[id_col].dataType.simpleString()},h:bigint>"  # as staged tables have it
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h")).cast(key_type)
+    rows = docs.select(key.alias("key"), text.alias("text"))
+    pairs = staged(followers(rows), "winnow-pairs")
+    need = rows.select("key", F.floor(F.length("text") / 3).alias("third")).distinct()
     # per follower: whom it follows, and how much of it that one takes
-    before = (pairs.join(need, same(pairs, need)).select(
-        pairs["next_id"].alias("id"), pairs["next_h"].alias("h"), pairs["id"].alias("prev_id"), pairs["h"].alias("prev_h"), "third"))
-    before = staged(before, "winnow-before")
+    before = staged(pairs.join(need, "key").select(F.col("next").alias("key"), F.col("key").alias("prev"), "third"), "winnow-before")
     # fingerprints are taken after texts have moved: they hardly compress
-    own = rows.join(before, same(rows, before)).select(rows["id"], rows["h"], "text", "prev_id", "prev_h", "third")
-    start = F.expr("substring(text, 1, cast(third as int))")
-    ahead = (own.groupBy("id", "h").agg(F.first(F.struct("prev_id", "prev_h", "text", "third")).alias("f")).select("f.*")
-             .select(F.col("prev_id").alias("a_id"), F.col("prev_h").alias("a_h"), start.alias("start"),
+    own = rows.join(before, "key")
+    ahead = (own.groupBy("key").agg(F.first(F.struct("prev", "text", "third")).alias("f")).select("f.*")
+             .select(F.col("prev").alias("key"), F.expr("substring(text, 1, cast(third as int))").alias("start"),
                      fingerprint(F.col("text"), k, window)["hash"].alias("next_hashes")))
-    joined = own.join(ahead, own["id"].eqNullSafe(ahead["a_id"]) & (own["h"] == ahead["a_h"]))
+    joined = own.select("key", "text").join(ahead, "key").select(F.col("key.id").alias("id"), "text", "start", "next_hashes",
+                                                                 fingerprint(F.col("text"), k, window).alias("marks"))
     n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - floor(length(text) / 3) as int))"), F.col("start"))
     out = joined.select("id", n.cast("long").alias("n_chars"), edited.alias("edited"), "next_hashes",
