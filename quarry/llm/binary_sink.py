@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 
 
-def gzip_member(data: bytes, level: int = 3) -> bytes:
+def gzip_member(data: bytes, level: int = 6) -> bytes:
     out = gzip.compress(data, level, mtime=0)
     return out if out[-1] == 0 else out + EMPTY_MEMBER
 

@@ -27,6 +27,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -130,8 +131,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     write_blobs(rows.mapInArrow(run, _BLOBS), path, "blob", records_per_file=RECORDS_PER_FILE)
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """The header fields of every record below ``path`` (and ``payload`` if asked for)."""
+def read_archives(spark: SparkSession, path: str, payloads: str | None = None) -> DataFrame:
+    """The header fields of every record below ``path``, and its ``payload`` as it is ("raw") or
+    under zlib ("packed", for tables that are shuffled next)."""
     schema = T.StructType([*HEADERS.fields, *([T.StructField("payload", T.BinaryType())] if payloads else [])])
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -144,7 +146,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
             row = (name, place, page and int(page), f.get("warc-target-uri"), f.get("warc-date"), f["warc-record-id"], kind,
                    f.get("warc-refers-to"), to_page and int(to_page), length,
                    f["warc-payload-digest"].removeprefix("sha1:") if kind == "revisit" else digest(payload))
-            yield (*row, payload) if payloads else row
+            yield (*row, zlib.compress(payload, 6) if payloads == "packed" else payload) if payloads else row
 
     def run(batches):
         for b in batches:
@@ -153,7 +155,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
                 held, size = [], 0
                 for row in rows_of(name, content):
                     held.append(row)
-                    size += row[9] if payloads else 100
+                    size += len(row[-1]) + 100 if payloads else 100
                     if size > 16_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)],
                                                          names=schema.fieldNames())
@@ -189,7 +191,7 @@ def write_deduplicated(spark: SparkSession, source: str, resolved: DataFrame, pa
     """Archives in which copies are revisit records; all headers are written afresh."""
     decisions = resolved.select("archive", "place", "new_type", "o_page_id", "o_record_id", "o_url", "o_date")
     # copies need no payload: only originals travel with theirs
-    records = read_archives(spark, source, payloads=True).join(decisions, ["archive", "place"])
+    records = read_archives(spark, source, payloads="packed").join(decisions, ["archive", "place"])
     records = records.withColumn("payload", F.when(F.col("new_type") == "response", F.col("payload")))
     names = ["record_id", "page_id", "url", "date", "payload_bytes", "payload_digest", "new_type", "payload", "o_record_id",
              "o_page_id", "o_url", "o_date"]
@@ -198,7 +200,7 @@ def write_deduplicated(spark: SparkSession, source: str, resolved: DataFrame, pa
         for b in batches:
             out = []
             for rid, page, url, date, n, dig, kind, payload, *original in zip(*[b.column(c).to_pylist() for c in names]):
-                out.append(gzip_member(response(page, url, payload or b"", rid, date) if kind == "response" else
+                out.append(gzip_member(response(page, url, zlib.decompress(payload), rid, date) if kind == "response" else
                                        revisit(page, url, n, dig, rid, tuple(original), date)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["blob"])
 
