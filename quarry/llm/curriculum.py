@@ -35,7 +35,7 @@ from pyspark.sql import Window
 
 from quarry.llm.common import staged
 
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def n_words(text: Column) -> Column:
