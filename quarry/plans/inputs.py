@@ -76,21 +76,16 @@ def part_edges(spark, sf_dir) -> DataFrame:
     return e.where(F.col("src") != F.col("dst"))
 
 
-def nation_edges(spark, sf_dir, top: int | None = 40) -> DataFrame:
-    """``(src, dst)``: the ``top`` busiest supplier-nation / customer-nation trade
-    lanes (unordered, different nations), by line count, ties by nation keys;
-    every lane with ``top=None``."""
+def nation_edges(spark, sf_dir) -> DataFrame:
+    """``(src, dst)``: every supplier-nation / customer-nation trade lane (unordered, different nations)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = (li.join(o, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
          .join(c, o.o_custkey == c.c_custkey).where(F.col("s_nationkey") != F.col("c_nationkey")))
-    lanes = j.groupBy(F.least("s_nationkey", "c_nationkey").alias("src"),
-                      F.greatest("s_nationkey", "c_nationkey").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
-    if top is None:
-        return lanes.select("src", "dst")
-    return lanes.orderBy(F.col("n").desc(), "src", "dst").limit(top).select("src", "dst")
+    return j.select(F.least("s_nationkey", "c_nationkey").alias("src"),
+                    F.greatest("s_nationkey", "c_nationkey").alias("dst")).distinct()
 
 
 def embedding_vectors(spark, sf_dir) -> DataFrame:

@@ -43,13 +43,3 @@ class LoopState:
             df.unpersist()
         self._held.clear()
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism if it has fewer partitions.
-
-    For CPU-heavy row-local work right after a scan of few, large splits (one
-    row group gives one task).  A large input already has many splits and is
-    returned untouched, so this never adds a shuffle at scale.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -109,14 +109,12 @@ MATCH_GROUPS = f"""WITH {DOCS},
 pass AS (SELECT b.* FROM bpairs b JOIN dmatch m ON m.id_a = b.id_a AND m.id_b = b.id_b),
 mem AS (SELECT DISTINCT band, band_sig, member FROM
         (SELECT band, band_sig, id_a AS member FROM pass UNION ALL SELECT band, band_sig, id_b FROM pass)),
-allm AS (SELECT band, band_sig, member FROM mem
-         UNION ALL SELECT m.band, m.band_sig, c.id FROM mem m JOIN copies c ON c.rep = m.member
-         UNION ALL SELECT DISTINCT -1, 'copies of ' || rep, member FROM
-           (SELECT rep, id AS member FROM copies UNION ALL SELECT rep, rep FROM copies)),
-ident AS (SELECT band, band_sig, count(*) AS group_size, min(member) AS group_min,
-                 CAST(sum(((member % 2147483647) * 48271 + 11) % 2147483647) AS BIGINT) AS group_hash
-          FROM allm GROUP BY 1, 2)
-SELECT DISTINCT i.group_size, i.group_min, i.group_hash, m.member FROM allm m JOIN ident i USING (band, band_sig)
+allm AS (SELECT band || ':' || band_sig AS name, member FROM mem
+         UNION SELECT m.band || ':' || m.band_sig, c.id FROM mem m JOIN copies c ON c.rep = m.member
+         UNION SELECT '-1:' || rep, member FROM (SELECT rep, id AS member FROM copies UNION ALL SELECT rep, rep FROM copies)),
+lists AS (SELECT name, list(member ORDER BY member) AS ms FROM allm GROUP BY name),
+firsts AS (SELECT min(name) AS group_name, ms FROM lists GROUP BY ms)
+SELECT len(ms) AS group_size, ms[1] AS group_min, group_name, unnest(ms) AS member FROM firsts
 """
 
 # ---------------------------------------------------------------- ALS, rank 1, item factors start at 1.0
@@ -198,14 +196,15 @@ und AS (SELECT src AS u, dst AS v FROM lanes ORDER BY n DESC, src, dst {limit}),
 adj AS (SELECT u, v FROM und UNION ALL SELECT v, u FROM und),
 gnodes AS (SELECT DISTINCT u AS node FROM adj),
 walk(source, node, dist) AS (SELECT node, node, 0 FROM gnodes
-      UNION SELECT w.source, a.v, w.dist + 1 FROM walk w JOIN adj a ON a.u = w.node WHERE w.dist < 30),
+      UNION SELECT w.source, a.v, w.dist + 1 FROM walk w JOIN adj a ON a.u = w.node
+            WHERE w.dist + 1 < (SELECT count(*) FROM gnodes)),
 sp AS (SELECT source, node, min(dist) AS dist FROM walk GROUP BY 1, 2),
 paths(source, node, dist) AS (SELECT node, node, 0 FROM gnodes
       UNION ALL SELECT p.source, a.v, p.dist + 1 FROM paths p JOIN adj a ON a.u = p.node
       JOIN sp ON sp.source = p.source AND sp.node = a.v AND sp.dist = p.dist + 1),
 bfs AS (SELECT source, node, CAST(dist AS INTEGER) AS dist, count(*)::DOUBLE AS sigma FROM paths GROUP BY 1, 2, 3)
 """
-NATION = _NATION.replace("{limit}", "LIMIT 40")
+NATION = _NATION.replace("{limit}", "")
 ALL_LANES = _NATION.replace("{limit}", "")
 BFS_PATHS = f"WITH RECURSIVE {NATION} SELECT source, node, dist, round(sigma, 6) AS sigma FROM bfs"
 LANE_BFS_PATHS = f"WITH RECURSIVE {ALL_LANES} SELECT source, node, dist, round(sigma, 6) AS sigma FROM bfs"

@@ -9,8 +9,8 @@ from quarry.operators.text import cluster_lines
 
 
 def write_ratings(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header ``user,item,rating``, sorted by user then item."""
-    (df.select("user", "item", "rating").orderBy("user", "item")
+    """CSV with header ``user,movie,rating``, sorted by user then item."""
+    (df.select("user", F.col("item").alias("movie"), "rating").orderBy("user", "movie")
      .write.mode(mode).option("header", True).csv(path))
 
 

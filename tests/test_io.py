@@ -39,7 +39,7 @@ def test_ratings_roundtrip(spark):
     out = os.path.join(d, "out")
     write_ratings(r, out)
     back = spark.read.option("header", True).csv(out)
-    assert back.columns == ["user", "item", "rating"] and back.count() == 2
+    assert back.columns == ["user", "movie", "rating"] and back.count() == 2
 
 
 def test_vectors_records_baskets(spark):
