@@ -71,13 +71,19 @@ def position(demand: Column, target: Column, slope: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_repeats: int = 2, slopes: list[float] | None = None,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """``(row, size, source_size, target, taken, positions)`` for every row of ``docs``."""
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None, write_rows: bool = True, ordered: bool = True) -> DataFrame:
+    """``(row, size, source_size, target, taken, positions)`` for every row of ``docs``.
+
+    ``write_rows`` writes the rows and their sizes once; without it they are read and
+    counted again, which is better for rows with their texts.  ``ordered``
+    range-sorts the result by first position.
+    """
     slopes = [0.0] * len(weights) if slopes is None else slopes
     columns = docs.columns if keep is None else keep
     hashed = F.coalesce(F.md5(F.col(id_col).cast("string")), F.lit(""))
-    rows = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(source_col).alias("source"),
-                              n_words(F.col(text_col)).alias("size"), hashed.alias("hash")), "mix-rows")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(source_col).alias("source"),
+                              n_words(F.col(text_col)).alias("size"), hashed.alias("hash"))
+    rows = staged(rows, "mix-rows") if write_rows else rows
     total = rows.count()
     slices = max(1, -(-total // SLICE_ROWS))
     at = F.coalesce(F.conv(F.substring("hash", 1, 8), 16, 10).cast("long"), F.lit(0))
@@ -99,7 +105,7 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_repeats:
     times = F.transform(passes, lambda at: position(at, F.col("target"), F.col("slope")))
     out = (placed.withColumn("positions", times)
            .select("row", "size", "source_size", "target", (F.size("positions") * F.col("size")).alias("taken"), "positions"))
-    return out.orderBy(F.asc_nulls_last(F.get("positions", F.lit(0))))
+    return out.orderBy(F.asc_nulls_last(F.get("positions", F.lit(0)))) if ordered else out
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from quarry.llm.binary_sink import write_blobs
-from quarry.llm.common import strings
+from quarry.llm.common import small_batches, strings
 from quarry.llm.pretokens import WordEncoder, remembered
 
 RECORD = "shard int, place long, doc_id {id_type}, n_tokens long"
@@ -61,6 +61,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, pattern: str,
     """Tokenise ``docs`` and write the ids and the document records of every shard."""
     if not 0 <= end_id < 256:
         raise ValueError("end_id must be below 256")
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
