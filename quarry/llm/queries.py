@@ -94,4 +94,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ppm": op10_ppm,
 }
 
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL for the queries that SQL can express; the others are held against brute force in tests/llm.
+ORACLE: dict[str, str] = {
+    "op1_warc_revisits": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (((('0x' || substr(x, (i // 8) * 10 + 1, 10))::BIGINT >> ((7 - i % 8) * 5)::INTEGER) & 31) + 1)::BIGINT, 1)),
+        'string_agg', '') AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to FROM m""",
+    "op4_extendible_shards": f"""
+WITH r AS (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h, strlen(coalesce(text, '')) AS bytes FROM documents),
+t AS (SELECT r.*, d::INTEGER AS depth, h >> (60 - d)::INTEGER AS prefix FROM r, range(0, 41) x(d)),
+s AS (SELECT depth, prefix, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows FROM t GROUP BY 1, 2),
+f AS (SELECT t.*, shard_bytes, shard_rows FROM t JOIN s USING (depth, prefix) WHERE shard_bytes <= {SHARD_BYTES} OR shard_rows = 1
+      QUALIFY depth = min(depth) OVER (PARTITION BY doc_id))
+SELECT doc_id, bytes, left(lpad(bin(h), 60, '0'), depth) AS shard, depth, 0::BIGINT AS page, shard_bytes, shard_rows,
+       shard_bytes > {SHARD_BYTES} AS oversize FROM f""",
+    "op7_curriculum_mix": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  md5(doc_id::VARCHAR) AS h FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS k FROM s0),
+s2 AS (SELECT *, [5.0, 2.0, 1.0][k + 1]::DOUBLE AS w, [0.5, 0.0, -0.5][k + 1]::DOUBLE AS slope, 2.0::DOUBLE * source_size AS cap FROM s1),
+s3 AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS need,
+              coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+              sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM s2),
+s4 AS (SELECT *, (need - filled) / open AS level FROM s3),
+s5 AS (SELECT *, (SELECT arg_min(level, cap / w) FROM s4 WHERE level * w <= cap) AS settled FROM s4),
+s6 AS (SELECT source, source_size, slope, least(cap, coalesce(settled * w, cap)) AS target FROM s5),
+p AS (SELECT d.*, source_size, target, slope,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS begins
+      FROM d JOIN s6 ON d.source IS NOT DISTINCT FROM s6.source),
+q AS (SELECT *, [x FOR x IN [begins, begins + source_size] IF size > 0 AND 2 * x + size <= 2 * target] AS passes FROM p),
+o AS (SELECT *, [CASE WHEN slope = 0 THEN least(x / target, 1) ELSE 2 * least(x / target, 1) /
+                 ((1 + slope) + sqrt(greatest((1 + slope) * (1 + slope) - 4 * slope * least(x / target, 1), 0))) END FOR x IN passes] AS t FROM q)
+SELECT doc_id, size, source_size, target, (len(passes) * size)::BIGINT AS taken, round(t[1], 9) AS position,
+       round(t[2], 9) AS second_position FROM o""",
+}
