@@ -35,6 +35,10 @@ from quarry.llm.common import map_columns, packed, strings
 from quarry.llm.pretokens import WordEncoder, remembered
 
 
+#: Distinct pieces that a worker remembers (it keeps them from task to task).
+MEMO = 300_000
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """The rank file (base64 of the piece, its rank) as a map."""
     with open(path, "rb") as f:
@@ -72,7 +76,7 @@ class Codec:
         for piece, i in ranks.items():
             self.pieces[i] = piece
         self.decimals = [str(i) for i in range(len(self.pieces))]
-        self.encode = WordEncoder(pattern, lambda w: self._pack(fold(w.encode("utf-8"), ranks))).encode
+        self.encode = WordEncoder(pattern, lambda w: self._pack(fold(w.encode("utf-8"), ranks)), MEMO).encode
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
