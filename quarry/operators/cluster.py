@@ -20,12 +20,12 @@ from quarry.functions.vectors import nearest
 
 def init_centres(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
                  seed: int | None = None) -> list[list[float]]:
-    """``k`` initial centres: the lowest ids, or the lowest ``xxhash64(id, seed)``.
+    """``k`` initial centres: the lowest ids, or with a ``seed`` the lowest ``md5("id:seed")``, a seeded sample.
 
     Either way the choice does not depend on partitioning; ``orderBy + limit``
     plans a bounded ``TakeOrderedAndProject``.
     """
-    order = F.col(id_col) if seed is None else F.xxhash64(F.col(id_col), F.lit(seed))
+    order = F.col(id_col) if seed is None else F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(seed)))
     rows = df.orderBy(order, F.col(id_col)).limit(k).select(F.col(vec_col).cast("array<double>")).collect()
     return [list(r[0]) for r in rows]
 
@@ -39,11 +39,12 @@ def kmeans_assign(df: DataFrame, centres: Sequence[Sequence[float]], id_col: str
 
 
 def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequence[Sequence[float]] | None = None,
-               max_iter: int = 100, id_col: str = "id", vec_col: str = "vec",
+               max_iter: int | None = None, id_col: str = "id", vec_col: str = "vec",
                seed: int | None = None) -> tuple[list[list[float]], int]:
     """Lloyd iterations until the summed squared centre shift is ``<= converge_dist``.
 
-    At least one round always runs; an empty cluster keeps its centre.
+    At least one round always runs; an empty cluster keeps its centre.  Rounds
+    are unlimited unless ``max_iter`` bounds them.
     Returns ``(centres, rounds)``; see :func:`centres_frame` for a DataFrame.
     """
     # the points are read once per round: keep them in memory (spilling to disk); a lost
@@ -55,7 +56,7 @@ def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequenc
         data.unpersist()
 
 
-def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int, seed):
+def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int | None, seed):
     centres = [list(map(float, c)) for c in (init or init_centres(data, k, "id", "vec", seed))]
     if not centres:
         return centres, 0
@@ -73,7 +74,7 @@ def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int, s
             new[row["cid"]] = point
         centres = new
         rounds += 1
-        if shift <= converge_dist or rounds >= max_iter:
+        if shift <= converge_dist or (max_iter is not None and rounds >= max_iter):
             break
     return centres, rounds
 

@@ -20,8 +20,8 @@ from quarry.plans.lineage import cut
 REC_K, REC_BANDS, REC_ROWS, REC_TOP = 50, 10, 5, 3
 DOC_BANDS, DOC_ROWS, DOC_THRESHOLD = 10, 4, 0.9
 GRAPH_ROUNDS = 3
-KMEANS_K, KMEANS_ROUNDS = 10, 2
-ALS_REG, ALS_RANK1_ITERS, ALS_RANK5_ITERS = 0.01, 2, 5
+KMEANS_K, KMEANS_CONVERGE, KMEANS_SEED = 10, 1e-9, 1
+ALS_REG, ALS_RANK1_ITERS, ALS_RANK, ALS_ITERS, ALS_SEED, ALS_TOP = 0.01, 2, 5, 20, 42, 3
 BASKET_SUPPORT, RULE_CONFIDENCE = 0.02, 0.5
 PAIR_SUPPORT = 0.01
 
@@ -79,35 +79,46 @@ def q_lsh_buckets(spark, d):
         "band", joined(F.col("band_sig")).alias("band_sig"), "id", "size")
 
 
-def q_lsh_candidates(spark, d):
-    return minhash.lsh_candidates(_rec_bands(spark, d))
+# -- candidates, similarity and neighbours over documents -> words -------------
+def _word_sets(spark, d):
+    """Distinct word sets of documents, one per group of exact copies."""
+    sets = match.record_sets(inputs.documents(spark, d), "doc_id", ["text"])
+    return cut(sets.join(match.copy_groups(sets).select("id"), "id", "left_anti"))
+
 
+def _word_candidates(sets):
+    bands = minhash.lsh_bands(minhash.minhash(sets, DOC_BANDS * DOC_ROWS), DOC_BANDS, DOC_ROWS)
+    return cut(minhash.lsh_candidates(bands))
 
-def _rec_candidates(spark, d, sets):
-    """Candidate pairs, written once: the size and element joins both read them."""
-    return cut(minhash.lsh_candidates(_rec_bands(spark, d, sets)))
+
+def q_lsh_candidates(spark, d):
+    return _word_candidates(_word_sets(spark, d))
 
 
 def q_pair_similarity(spark, d):
-    sets = _rec_sets(spark, d)
-    s = minhash.pair_similarity(_rec_candidates(spark, d, sets), sets, sets_distinct=True)
+    sets = _word_sets(spark, d)
+    s = minhash.pair_similarity(_word_candidates(sets), sets, sets_distinct=True)
     return s.select("id_a", "id_b", "inter", "size_a", "size_b", r6(F.col("similarity")).alias("similarity"))
 
 
-def _rec_topk(spark, d):
-    sets = _rec_sets(spark, d)
-    sims = minhash.mirrored(cut(minhash.pair_similarity(_rec_candidates(spark, d, sets), sets, sets_distinct=True)))
+def _topk(spark, d):
+    sets = _word_sets(spark, d)
+    sims = minhash.mirrored(cut(minhash.pair_similarity(_word_candidates(sets), sets, sets_distinct=True)))
     return recommend.similar_topk(sims, REC_TOP)
 
 
 def q_similar_topk(spark, d):
-    return _rec_topk(spark, d).select("user", "neighbour", r6(F.col("similarity")).alias("similarity"), "rank")
+    return _topk(spark, d).select("user", "neighbour", r6(F.col("similarity")).alias("similarity"), "rank")
+
+
+def _word_ratings(spark, d):
+    """``(user, item, rating)``: how often each document has each word; written once, as it is read twice."""
+    t = _doc_tokens(spark, d)
+    return cut(t.groupBy(F.col("id").alias("user"), F.col("token").alias("item")).agg(F.count(F.lit(1)).alias("rating")))
 
 
 def q_predict_from_neighbours(spark, d):
-    # the ratings are read twice (neighbour ratings and the user's own items): write them once
-    ratings = cut(inputs.customer_part_ratings(spark, d))
-    p = recommend.predict_from_neighbours(ratings, _rec_topk(spark, d))
+    p = recommend.predict_from_neighbours(_word_ratings(spark, d), _topk(spark, d))
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
 
@@ -122,15 +133,27 @@ def q_match_records(spark, d):
     return pairs.select("id_a", "id_b", r6(F.col("similarity")).alias("similarity"))
 
 
+def q_match_containment(spark, d):
+    sets = match.record_sets(inputs.documents(spark, d), "doc_id", ["text"])
+    m = match.find_matches(sets, DOC_BANDS, DOC_ROWS, DEFAULT_FAMILY, DOC_THRESHOLD, "containment", sets_distinct=True)
+    return match.matched_pairs(m).select("id_a", "id_b", r6(F.col("similarity")).alias("similarity"))
+
+
+def q_match_two_columns(spark, d):
+    docs = inputs.table(spark, d, "documents")
+    pairs = match.match_records(docs, "doc_id", ["text", "source"], bands=DOC_BANDS, rows=DOC_ROWS, threshold=DOC_THRESHOLD)
+    return pairs.select("id_a", "id_b", r6(F.col("similarity")).alias("similarity"))
+
+
 def q_match_groups(spark, d):
     return match.match_groups(_doc_matches(spark, d))
 
 
 # -- ALS over customer x brand -----------------------------------------------
-def _als(spark, d, rank, iters, init_value):
-    # the ratings feed the id lists, the non-zero table, the RMSE and the predictions: write them once
+def _als(spark, d, rank=ALS_RANK, iters=ALS_ITERS, init_value=None):
+    # the ratings feed the id lists, the non-zero table and the RMSE: write them once
     ratings = cut(inputs.customer_brand_ratings(spark, d))
-    return factor.als_fit(ratings, rank=rank, iterations=iters, reg=ALS_REG, init_value=init_value), ratings
+    return factor.als_fit(ratings, rank=rank, iterations=iters, reg=ALS_REG, seed=ALS_SEED, init_value=init_value), ratings
 
 
 def q_als_half_step(spark, d):
@@ -153,19 +176,23 @@ def q_als_rank1(spark, d):
 
 
 def q_als_rmse(spark, d):
-    model, ratings = _als(spark, d, 1, ALS_RANK1_ITERS, 1.0)
+    model, ratings = _als(spark, d)
     return factor.als_rmse(model, ratings).select(r6(F.col("rmse")).alias("rmse"))
 
 
 def q_als_predict(spark, d):
-    model, ratings = _als(spark, d, 1, ALS_RANK1_ITERS, 1.0)
-    p = factor.als_predict(model, inputs.brand_candidates(spark, d), ratings)
+    """The best words that a document's neighbours have and it lacks, by a model of word counts."""
+    ratings = _word_ratings(spark, d)
+    model = factor.als_fit(ratings, rank=ALS_RANK, iterations=ALS_ITERS, reg=ALS_REG, seed=ALS_SEED)
+    theirs = ratings.select(F.col("user").alias("neighbour"), "item")
+    cells = _topk(spark, d).join(theirs, "neighbour").select("user", "item")
+    p = factor.als_predict(model, cells, ratings, top_n=ALS_TOP)
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
 
 def q_als_rank5(spark, d):
-    model, _ = _als(spark, d, 5, ALS_RANK5_ITERS, None)
-    cols = factor.factor_cols(5)
+    model, _ = _als(spark, d)
+    cols = factor.factor_cols(ALS_RANK)
     return model.factors().select("side", F.col("id").cast("string").alias("id"), *[r6(F.col(c)).alias(c) for c in cols])
 
 
@@ -189,6 +216,16 @@ def q_edge_betweenness(spark, d):
     return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
 
 
+def q_part_bfs_paths(spark, d):
+    b = graph.bfs_paths(inputs.part_edges(spark, d), inputs.part_sources(spark, d))
+    return b.select("source", "node", "dist", r6(F.col("sigma")).alias("sigma"))
+
+
+def q_part_edge_betweenness(spark, d):
+    b = graph.edge_betweenness(inputs.part_edges(spark, d), inputs.part_sources(spark, d))
+    return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
+
+
 def q_lane_bfs_paths(spark, d):
     b = graph.bfs_paths(inputs.nation_edges(spark, d))
     return b.select("source", "node", "dist", r6(F.col("sigma")).alias("sigma"))
@@ -202,7 +239,7 @@ def q_lane_edge_betweenness(spark, d):
 # -- k-means over embeddings -------------------------------------------------
 def _kmeans(spark, d):
     vecs = inputs.embedding_vectors(spark, d)
-    centres, _ = cluster.kmeans_fit(vecs, KMEANS_K, converge_dist=0.0, max_iter=KMEANS_ROUNDS)
+    centres, _ = cluster.kmeans_fit(vecs, KMEANS_K, KMEANS_CONVERGE, seed=KMEANS_SEED)
     return vecs, centres
 
 
@@ -258,6 +295,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_from_neighbours": q_predict_from_neighbours,
     "match_records": q_match_records,
     "match_groups": q_match_groups,
+    "match_containment": q_match_containment,
+    "match_two_columns": q_match_two_columns,
     "als_half_step": q_als_half_step,
     "als_rank1": q_als_rank1,
     "als_rmse": q_als_rmse,
@@ -267,6 +306,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hits": q_hits,
     "bfs_paths": q_bfs_paths,
     "edge_betweenness": q_edge_betweenness,
+    "part_bfs_paths": q_part_bfs_paths,
+    "part_edge_betweenness": q_part_edge_betweenness,
     "lane_bfs_paths": q_lane_bfs_paths,
     "lane_edge_betweenness": q_lane_edge_betweenness,
     "kmeans_fit": q_kmeans_fit,

@@ -51,17 +51,6 @@ def customer_brand_ratings(spark, sf_dir) -> DataFrame:
             .agg(F.sum("l_quantity").alias("rating")))
 
 
-def brand_candidates(spark, sf_dir) -> DataFrame:
-    """``(user, item)``: brands that suppliers of the customer's own nation sell."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    nb = (li.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
-          .select(F.col("s_nationkey").alias("nation"), F.col("p_brand").alias("item")).distinct())
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user"), F.col("c_nationkey").alias("nation"))
-    return c.join(nb, "nation").select("user", "item")
-
-
 def part_edges(spark, sf_dir) -> DataFrame:
     """``(src, dst)`` co-purchase edges, one per order line: the part on the
     order's first line (lowest line number, then part key) points to the part
@@ -76,6 +65,11 @@ def part_edges(spark, sf_dir) -> DataFrame:
     return e.where(F.col("src") != F.col("dst"))
 
 
+def part_sources(spark, sf_dir) -> DataFrame:
+    """``(node)``: the part with the lowest key of each brand."""
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("node")).select("node")
+
+
 def nation_edges(spark, sf_dir) -> DataFrame:
     """``(src, dst)``: every supplier-nation / customer-nation trade lane (unordered, different nations)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")

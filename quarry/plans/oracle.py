@@ -35,12 +35,16 @@ sizes AS (SELECT fingerprint, count(*) AS n_values, CAST(sum(count) AS BIGINT) A
 SELECT k.fingerprint, k.value, k.count, s.n_values, s.n_total FROM keyed k JOIN sizes s USING (fingerprint)
 """
 
-DOC_TOKENS = f"""
-doc_toks AS (SELECT doc_id, {_tokens('text')} AS toks FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+def _doc_tokens(x: str) -> str:
+    return f"""
+doc_toks AS (SELECT doc_id, {_tokens('x')} AS toks FROM (SELECT DISTINCT doc_id, {x} AS x FROM documents) WHERE x IS NOT NULL),
 tok AS (SELECT doc_id, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS token FROM doc_toks),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY token) AS BIGINT) AS token_id FROM (SELECT DISTINCT token FROM tok))
 """
 
+
+DOC_TOKENS = _doc_tokens("text")
+
 TOKENS = f"WITH {DOC_TOKENS} SELECT doc_id, pos, token FROM tok"
 VOCABULARY = f"WITH {DOC_TOKENS} SELECT token, token_id FROM vocab"
 
@@ -50,40 +54,18 @@ cp AS (SELECT DISTINCT o.o_custkey AS id, l.l_partkey AS item FROM lineitem l JO
 h AS (SELECT id, i, min({RECOMMENDER_FAMILY.sql('item', 'i')}) AS h FROM cp, range(1, {C.REC_K + 1}) t(i) GROUP BY id, i),
 bands AS (SELECT CAST((i - 1) // {C.REC_ROWS} AS INTEGER) AS band, id,
                  string_agg(CAST(h AS VARCHAR), ',' ORDER BY i) AS band_sig
-          FROM h WHERE i <= {C.REC_BANDS * C.REC_ROWS} GROUP BY id, (i - 1) // {C.REC_ROWS}),
-cand AS (SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM bands a JOIN bands b
-         ON a.band = b.band AND a.band_sig = b.band_sig AND a.id < b.id),
-sz AS (SELECT id, count(*) AS size FROM cp GROUP BY id),
-sym AS (SELECT id_a, id_b FROM cand UNION ALL SELECT id_b, id_a FROM cand),
-sim AS (SELECT s.id_a, s.id_b, CAST(count(x.item) AS BIGINT) AS inter, sa.size AS size_a, sb.size AS size_b
-        FROM sym s JOIN sz sa ON sa.id = s.id_a JOIN sz sb ON sb.id = s.id_b
-        LEFT JOIN (SELECT a.id AS ia, b.id AS ib, a.item FROM cp a JOIN cp b ON a.item = b.item) x
-          ON x.ia = s.id_a AND x.ib = s.id_b
-        GROUP BY s.id_a, s.id_b, sa.size, sb.size),
-simj AS (SELECT *, inter / (size_a + size_b - inter) AS similarity FROM sim),
-topk AS (SELECT id_a AS "user", id_b AS neighbour, similarity,
-                CAST(row_number() OVER (PARTITION BY id_a ORDER BY similarity DESC, id_b) AS INTEGER) AS rank FROM simj
-         QUALIFY rank <= {C.REC_TOP}),
-ratings AS (SELECT o.o_custkey AS "user", l.l_partkey AS item, max(l.l_quantity) AS rating
-            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)
+          FROM h WHERE i <= {C.REC_BANDS * C.REC_ROWS} GROUP BY id, (i - 1) // {C.REC_ROWS})
 """
 
 MINHASH_SIGNATURE = f"WITH {REC} SELECT id, string_agg(CAST(h AS VARCHAR), ',' ORDER BY i) AS sig FROM h GROUP BY id"
 LSH_BANDS = f"WITH {REC} SELECT band, id, band_sig FROM bands"
 LSH_BUCKETS = f"""WITH {REC}, bs AS (SELECT band, band_sig, count(*) AS size FROM bands GROUP BY 1, 2 HAVING count(*) >= 2)
 SELECT b.band, b.band_sig, b.id, bs.size FROM bands b JOIN bs USING (band, band_sig)"""
-LSH_CANDIDATES = f"WITH {REC} SELECT id_a, id_b FROM cand"
-PAIR_SIMILARITY = f"""WITH {REC} SELECT s.id_a, s.id_b, s.inter, s.size_a, s.size_b, round(s.similarity, 6) AS similarity
-FROM simj s JOIN cand c ON c.id_a = s.id_a AND c.id_b = s.id_b"""
-SIMILAR_TOPK = f'WITH {REC} SELECT "user", neighbour, round(similarity, 6) AS similarity, rank FROM topk'
-PREDICT = f"""WITH {REC},
-nr AS (SELECT t."user", r.item, r.rating FROM topk t JOIN ratings r ON r."user" = t.neighbour),
-unseen AS (SELECT * FROM nr WHERE NOT EXISTS (SELECT 1 FROM ratings o WHERE o."user" = nr."user" AND o.item = nr.item))
-SELECT "user", item, round(avg(rating), 6) AS rating FROM unseen GROUP BY 1, 2"""
 
 # ---------------------------------------------------------------- document matching
 _K_DOC = C.DOC_BANDS * C.DOC_ROWS
-DOCS = f"""{DOC_TOKENS},
+def _docs(tokens: str) -> str:
+    return f"""{tokens},
 sets0 AS (SELECT DISTINCT t.doc_id AS id, v.token_id AS item FROM tok t JOIN vocab v USING (token)),
 skey AS (SELECT id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS k FROM sets0 GROUP BY id),
 cgrp AS (SELECT id, min(id) OVER (PARTITION BY k) AS rep FROM skey),
@@ -98,13 +80,36 @@ dcand AS (SELECT DISTINCT id_a, id_b FROM bpairs),
 dsz AS (SELECT id, count(*) AS size FROM sets GROUP BY id),
 dinter AS (SELECT c.id_a, c.id_b, count(*) AS inter FROM dcand c JOIN sets a ON a.id = c.id_a
            JOIN sets b ON b.id = c.id_b AND b.item = a.item GROUP BY 1, 2),
-dsim AS (SELECT c.id_a, c.id_b, coalesce(i.inter, 0) / (sa.size + sb.size - coalesce(i.inter, 0)) AS similarity
+dsim AS (SELECT c.id_a, c.id_b, coalesce(i.inter, 0) AS inter, sa.size AS size_a, sb.size AS size_b, coalesce(i.inter, 0) / (sa.size + sb.size - coalesce(i.inter, 0)) AS similarity
          FROM dcand c JOIN dsz sa ON sa.id = c.id_a JOIN dsz sb ON sb.id = c.id_b
          LEFT JOIN dinter i ON i.id_a = c.id_a AND i.id_b = c.id_b),
 dmatch AS (SELECT * FROM dsim WHERE similarity >= {C.DOC_THRESHOLD})
 """
+
+
+DOCS = _docs(DOC_TOKENS)
+LSH_CANDIDATES = f"WITH {DOCS} SELECT id_a, id_b FROM dcand"
+PAIR_SIMILARITY = f"""WITH {DOCS}
+SELECT id_a, id_b, inter, size_a, size_b, round(similarity, 6) AS similarity FROM dsim"""
+TOPK = f"""{DOCS},
+sym AS (SELECT id_a AS "user", id_b AS neighbour, similarity FROM dsim
+        UNION ALL SELECT id_b, id_a, similarity FROM dsim),
+topk AS (SELECT *, CAST(row_number() OVER (PARTITION BY "user" ORDER BY similarity DESC, neighbour) AS INTEGER) AS rank FROM sym
+         QUALIFY rank <= {C.REC_TOP})"""
+SIMILAR_TOPK = f'WITH {TOPK} SELECT "user", neighbour, round(similarity, 6) AS similarity, rank FROM topk'
+WORD_RATINGS = 'r AS (SELECT doc_id AS "user", token AS item, count(*) AS rating FROM tok GROUP BY 1, 2)'
+_THEIRS = 'nr AS (SELECT t."user", r.item, r.rating FROM topk t JOIN r ON r."user" = t.neighbour)'
+_UNSEEN = """unseen AS (SELECT * FROM nr WHERE NOT EXISTS
+  (SELECT 1 FROM r o WHERE o."user" = nr."user" AND o.item = nr.item))"""
+PREDICT = f"""WITH {TOPK}, {WORD_RATINGS}, {_THEIRS}, {_UNSEEN}
+SELECT "user", item, round(avg(rating), 6) AS rating FROM unseen GROUP BY 1, 2"""
 MATCH_RECORDS = f"""WITH {DOCS} SELECT id_a, id_b, round(similarity, 6) AS similarity FROM dmatch
 UNION ALL SELECT rep, id, 1.0 FROM copies"""
+MATCH_CONTAINMENT = f"""WITH {DOCS}
+SELECT id_a, id_b, round(inter / least(size_a, size_b), 6) AS similarity FROM dsim
+WHERE inter / least(size_a, size_b) >= {C.DOC_THRESHOLD} UNION ALL SELECT rep, id, 1.0 FROM copies"""
+MATCH_TWO_COLUMNS = f"""WITH {_docs(_doc_tokens("text || ' ' || source"))}
+SELECT id_a, id_b, round(similarity, 6) AS similarity FROM dmatch UNION ALL SELECT rep, id, 1.0 FROM copies"""
 MATCH_GROUPS = f"""WITH {DOCS},
 pass AS (SELECT b.* FROM bpairs b JOIN dmatch m ON m.id_a = b.id_a AND m.id_b = b.id_b),
 mem AS (SELECT DISTINCT band, band_sig, member FROM
@@ -142,16 +147,61 @@ SELECT x.id AS "user", round(x.b, 6) AS xtr, round((SELECT sum(f * f) FROM v0),
 FROM xtr x JOIN u1 u ON u.id = x.id"""
 ALS_RANK1 = f"""WITH {ALS} SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, round(f, 6) AS f0 FROM u2
 UNION ALL SELECT 'item', CAST(id AS VARCHAR), round(f, 6) FROM v2"""
-ALS_RMSE = f"""WITH {ALS},
-s AS (SELECT sum(rating * rating) AS s2, sum(rating * u.f * v.f) AS sp FROM nz JOIN u2 u ON u.id = nz."user" JOIN v2 v ON v.id = nz.item)
-SELECT round(sqrt(greatest(s2 - 2 * sp + (SELECT sum(f * f) FROM u2) * (SELECT sum(f * f) FROM v2), 0)
-             / ((SELECT n FROM nu) * (SELECT n FROM ni))), 6) AS rmse FROM s"""
-ALS_PREDICT = f"""WITH {ALS},
-nb AS (SELECT DISTINCT s.s_nationkey AS nation, p.p_brand AS item FROM lineitem l
-       JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey),
-cells AS (SELECT DISTINCT c.c_custkey AS "user", nb.item FROM customer c JOIN nb ON nb.nation = c.c_nationkey),
-todo AS (SELECT * FROM cells WHERE NOT EXISTS (SELECT 1 FROM nz WHERE nz."user" = cells."user" AND nz.item = cells.item))
-SELECT t."user", t.item, round(u.f * v.f, 6) AS rating FROM todo t JOIN u2 u ON u.id = t."user" JOIN v2 v ON v.id = t.item"""
+
+
+def _inverse(name: str, source: str, n_fixed: str, rank: int) -> list[str]:
+    """CTEs of one row each: XᵀX + reg · n · I with the identity beside it, then Gauss-Jordan, a pivot at a time."""
+    span = range(rank)
+    cells = [f"sum(f{min(i, j)} * f{max(i, j)})" + (f" + {_REG} * (SELECT n FROM {n_fixed})" if i == j else "") + f" AS a{i}_{j}"
+             for i in span for j in span]
+    ones = [f"{float(i == j)}::DOUBLE AS e{i}_{j}" for i in span for j in span]
+    out = [f"{name}_0 AS (SELECT {', '.join(cells + ones)} FROM {source})"]
+    for p in span:
+        cols = [f"{m}{i}_{j} / a{p}_{p} AS {m}{i}_{j}" if i == p else
+                f"{m}{i}_{j} - a{i}_{p} * {m}{p}_{j} / a{p}_{p} AS {m}{i}_{j}" for m in "ae" for i in span for j in span]
+        out.append(f"{name}_{p + 1} AS (SELECT {', '.join(cols)} FROM {name}_{p})")
+    return out
+
+
+def _als_sql(rank: int, iterations: int, seed: int) -> str:
+    """CTEs from ``r`` (user, item, rating) to the factor tables ``u<iterations>`` and ``v<iterations>``."""
+    span = range(rank)
+    init = [f"('0x' || substr(md5(id::VARCHAR || ':{seed}:{k}'), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS f{k}" for k in span]
+    parts = ["nz AS MATERIALIZED (SELECT * FROM r WHERE rating <> 0)",
+             'us AS MATERIALIZED (SELECT DISTINCT "user" AS id FROM r)', "it AS MATERIALIZED (SELECT DISTINCT item AS id FROM r)",
+             "nu AS (SELECT count(*) AS n FROM us)", "ni AS (SELECT count(*) AS n FROM it)",
+             f"v0 AS MATERIALIZED (SELECT id, {', '.join(init)} FROM it)"]
+
+    def half(new, old, ids, key, other, n_fixed):
+        parts.extend(_inverse("inv_" + new, old, n_fixed, rank))
+        sums = ", ".join(f"sum(rating * x.f{k}) AS b{k}" for k in span)
+        solved = ", ".join(" + ".join(f"e{i}_{j} * coalesce(b{j}, 0)" for j in span) + f" AS f{i}" for i in span)
+        parts.append(f'{new} AS MATERIALIZED (SELECT {ids}.id, {solved} FROM {ids} LEFT JOIN (SELECT nz."{key}" AS id, {sums} '
+                     f'FROM nz JOIN {old} x ON x.id = nz."{other}" GROUP BY 1) b ON b.id = {ids}.id CROSS JOIN inv_{new}_{rank})')
+
+    for k in range(1, iterations + 1):
+        half(f"u{k}", f"v{k - 1}", "us", "user", "item", "ni")
+        half(f"v{k}", f"u{k}", "it", "item", "user", "nu")
+    return ",\n".join(parts)
+
+
+_BRAND_RATINGS = """r AS MATERIALIZED (SELECT o.o_custkey AS "user", p.p_brand AS item, sum(l.l_quantity) AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2)"""
+_N, _SPAN = C.ALS_ITERS, range(C.ALS_RANK)
+_ALS = _als_sql(C.ALS_RANK, C.ALS_ITERS, C.ALS_SEED)
+_DOT = " + ".join(f"u.f{k} * v.f{k}" for k in _SPAN)
+_ROUNDED = ", ".join(f"round(f{k}, 6) AS f{k}" for k in _SPAN)
+ALS_RANK5 = f"""WITH {_BRAND_RATINGS}, {_ALS}
+SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, {_ROUNDED} FROM u{_N}
+UNION ALL SELECT 'item', CAST(id AS VARCHAR), {_ROUNDED} FROM v{_N}"""
+ALS_RMSE = f"""WITH {_BRAND_RATINGS}, {_ALS}
+SELECT round(sqrt(avg((coalesce(r.rating, 0) - ({_DOT})) ** 2)), 6) AS rmse
+FROM u{_N} u CROSS JOIN v{_N} v LEFT JOIN r ON r."user" = u.id AND r.item = v.id"""
+ALS_PREDICT = f"""WITH {TOPK}, {WORD_RATINGS.replace(' AS (', ' AS MATERIALIZED (', 1)}, {_ALS}, {_THEIRS}, {_UNSEEN},
+scored AS (SELECT c."user", c.item, {_DOT} AS rating FROM (SELECT DISTINCT "user", item FROM unseen) c
+           JOIN u{_N} u ON u.id = c."user" JOIN v{_N} v ON v.id = c.item)
+SELECT "user", item, round(rating, 6) AS rating FROM scored
+QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY round(rating, 9) DESC, item) <= {C.ALS_TOP}"""
 
 # ---------------------------------------------------------------- graphs
 PART_EDGES = """
@@ -226,28 +276,47 @@ contrib AS (SELECT o.u, o.v, sa.sigma * bt.sigma / st.sigma AS x FROM orient o
 SELECT und.u, und.v, round(coalesce(0.5 * s.b, 0), 6) AS betweenness FROM und
 LEFT JOIN (SELECT u, v, sum(x) AS b FROM contrib GROUP BY 1, 2) s USING (u, v)"""
 
-
-# ---------------------------------------------------------------- k-means
-def _kmeans_sql(rounds: int) -> str:
-    parts = ["pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)",
-             "dims AS (SELECT id, unnest(range(len(vec))) AS d, unnest(vec) AS x FROM pts)",
-             f"seed AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS cid FROM pts ORDER BY id LIMIT {C.KMEANS_K})",
-             "c0 AS (SELECT s.cid, d.d, d.x AS c FROM seed s JOIN dims d USING (id))"]
-    for k in range(1, rounds + 1):
-        parts.append(f"dist{k} AS (SELECT p.id, c.cid, sum((p.x - c.c) * (p.x - c.c)) AS dist FROM dims p "
-                     f"JOIN c{k - 1} c USING (d) GROUP BY 1, 2)")
-        parts.append(f"asg{k} AS (SELECT id, cid, dist FROM dist{k} QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, cid) = 1)")
-        parts.append(f"m{k} AS (SELECT a.cid, p.d, avg(p.x) AS c FROM asg{k} a JOIN dims p USING (id) GROUP BY 1, 2)")
-        parts.append(f"c{k} AS (SELECT o.cid, o.d, coalesce(m.c, o.c) AS c FROM c{k - 1} o LEFT JOIN m{k} m USING (cid, d))")
-    return "WITH " + ",\n".join(parts)
+PART_PATHS = f"""{PART_EDGES},
+und AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM pe),
+adj AS MATERIALIZED (SELECT u, v FROM und UNION ALL SELECT v, u FROM und),
+srcs AS MATERIALIZED (SELECT min(p_partkey) AS node FROM part GROUP BY p_brand),
+sp(source, node, dist) USING KEY (source, node) AS (SELECT node, node, 0 FROM srcs
+      UNION SELECT s.source, a.v, s.dist + 1 FROM sp s JOIN adj a ON a.u = s.node
+      WHERE NOT EXISTS (SELECT 1 FROM recurring.sp k WHERE k.source = s.source AND k.node = a.v)),
+paths(source, node, dist, path) AS (SELECT node, node, 0, [node] FROM srcs
+      UNION ALL SELECT p.source, a.v, p.dist + 1, list_append(p.path, a.v) FROM paths p JOIN adj a ON a.u = p.node
+      JOIN sp ON sp.source = p.source AND sp.node = a.v AND sp.dist = p.dist + 1)"""
+PART_BFS_PATHS = f"""WITH RECURSIVE {PART_PATHS}
+SELECT source, node, dist, count(*)::DOUBLE AS sigma FROM paths GROUP BY 1, 2, 3"""
+# every shortest path gives each of its edges one share of its pair's paths
+PART_EDGE_BETWEENNESS = f"""WITH RECURSIVE {PART_PATHS},
+shares AS (SELECT path, 1.0::DOUBLE / count(*) OVER (PARTITION BY source, node) AS x FROM paths),
+steps AS (SELECT path, x, unnest(range(1, len(path))) AS i FROM shares),
+sums AS (SELECT least(path[i], path[i + 1]) AS u, greatest(path[i], path[i + 1]) AS v, sum(x) AS b FROM steps GROUP BY 1, 2)
+SELECT und.u, und.v, round(coalesce(b, 0), 6) AS betweenness FROM und LEFT JOIN sums USING (u, v)"""
 
 
-KMEANS_FIT = (_kmeans_sql(C.KMEANS_ROUNDS) +
-              f"\nSELECT CAST(cid AS INTEGER) AS cid, CAST(d AS INTEGER) AS dim, round(c, 6) AS value FROM c{C.KMEANS_ROUNDS}")
-KMEANS_ASSIGN = (_kmeans_sql(C.KMEANS_ROUNDS) +
-                 f",\nfin AS (SELECT p.id, c.cid, sum((p.x - c.c) * (p.x - c.c)) AS dist FROM dims p JOIN c{C.KMEANS_ROUNDS} c USING (d) GROUP BY 1, 2)"
-                 "\nSELECT id, CAST(cid AS INTEGER) AS cid, round(dist, 6) AS sq_dist FROM fin "
-                 "QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, cid) = 1")
+# ---------------------------------------------------------------- k-means
+KMEANS = f"""WITH RECURSIVE pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings),
+dims AS MATERIALIZED (SELECT id, unnest(range(len(vec))) AS d, unnest(vec) AS x FROM pts),
+seed AS (SELECT id, row_number() OVER (ORDER BY md5(id::VARCHAR || ':{C.KMEANS_SEED}'), id) - 1 AS cid FROM pts
+         ORDER BY cid LIMIT {C.KMEANS_K}),
+lloyd(round, cid, d, c, shift) AS (
+  SELECT 0, s.cid, d.d, d.x, 1e300::DOUBLE FROM seed s JOIN dims d USING (id)
+  UNION ALL
+  SELECT o.round + 1, o.cid, o.d, coalesce(m.c, o.c), sum((coalesce(m.c, o.c) - o.c) ** 2) OVER ()
+  FROM lloyd o LEFT JOIN (
+    SELECT a.cid, p.d, avg(p.x) AS c FROM (
+      SELECT p.id, c.cid FROM dims p JOIN lloyd c USING (d) GROUP BY p.id, c.cid
+      QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY sum((p.x - c.c) ** 2), c.cid) = 1) a
+    JOIN dims p USING (id) GROUP BY a.cid, p.d) m USING (cid, d)
+  WHERE o.shift > {C.KMEANS_CONVERGE}),
+fin AS (SELECT cid, d, c FROM lloyd WHERE round = (SELECT max(round) FROM lloyd))"""
+KMEANS_FIT = KMEANS + "\nSELECT CAST(cid AS INTEGER) AS cid, CAST(d AS INTEGER) AS dim, round(c, 6) AS value FROM fin"
+KMEANS_ASSIGN = KMEANS + """,
+dist AS (SELECT p.id, c.cid, sum((p.x - c.c) ** 2) AS x FROM dims p JOIN fin c USING (d) GROUP BY 1, 2)
+SELECT id, CAST(cid AS INTEGER) AS cid, round(x, 6) AS sq_dist FROM dist
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY x, cid) = 1"""
 
 # ---------------------------------------------------------------- baskets, itemsets, rules
 BASKETS_CTE = f"""
@@ -289,14 +358,19 @@ ORACLE: dict[str, str] = {
     "predict_from_neighbours": PREDICT,
     "match_records": MATCH_RECORDS,
     "match_groups": MATCH_GROUPS,
+    "match_containment": MATCH_CONTAINMENT,
+    "match_two_columns": MATCH_TWO_COLUMNS,
     "als_half_step": ALS_HALF_STEP,
     "als_rank1": ALS_RANK1,
     "als_rmse": ALS_RMSE,
     "als_predict": ALS_PREDICT,
+    "als_rank5": ALS_RANK5,
     "pagerank": _pagerank_sql(C.GRAPH_ROUNDS),
     "hits": _hits_sql(C.GRAPH_ROUNDS),
     "bfs_paths": BFS_PATHS,
     "edge_betweenness": EDGE_BETWEENNESS,
+    "part_bfs_paths": PART_BFS_PATHS,
+    "part_edge_betweenness": PART_EDGE_BETWEENNESS,
     "lane_bfs_paths": LANE_BFS_PATHS,
     "lane_edge_betweenness": LANE_EDGE_BETWEENNESS,
     "kmeans_fit": KMEANS_FIT,

@@ -25,30 +25,36 @@ def read_edges(spark: SparkSession, path: str, sep: str = r"\s+", nodes: bool =
 
     ``sep`` is a regular expression: ``r"\\s+"`` splits on whitespace runs,
     ``" "`` on single spaces (double spaces then give empty fields), ``","``
-    on commas.  Fields beyond the second are ignored for the edge; with
+    on commas.  ``\\s`` covers Unicode white space.  Fields beyond the second are ignored for the edge, and a
+    line with fewer than two fields fails the job; with
     ``nodes=True`` the result is instead ``(node)``, every field of every line.
     """
-    parts = F.split(F.col("value"), sep)
+    parts = F.split(F.col("value"), "(?U)" + sep)
     lines = spark.read.text(path)
     if nodes:
         return lines.select(F.explode(parts).alias("node")).distinct()
-    return lines.select(F.get(parts, 0).alias("src"), F.get(parts, 1).alias("dst")).where(F.col("dst").isNotNull())
+    short = F.raise_error(F.concat(F.lit("edge line with fewer than two fields: "), F.col("value")))
+    dst = F.when(F.size(parts) < 2, short.cast("string")).otherwise(F.get(parts, 1))
+    return lines.select(F.get(parts, 0).alias("src"), dst.alias("dst"))
 
 
 def read_ratings(spark: SparkSession, path: str, user: str = "userId", item: str = "movieId",
                  rating: str = "rating", lenient: bool = False) -> DataFrame:
-    """``(user, item, rating)`` from a CSV with a header row (other columns pruned)."""
+    """``(user, item, rating)`` from a CSV with a header row (other columns pruned); a line that
+    repeats the header is dropped wherever it stands."""
     df = spark.read.option("header", True).csv(path)
+    repeated = F.col(user).eqNullSafe(user) & F.col(item).eqNullSafe(item) & F.col(rating).eqNullSafe(rating)
+    df = df.where(~repeated)
     return df.select(_cast(F.col(user), "bigint", lenient).alias("user"),
                      _cast(F.col(item), "bigint", lenient).alias("item"),
                      _cast(F.col(rating), "double", lenient).alias("rating"))
 
 
 def read_vectors(spark: SparkSession, path: str, sep: str = " ", lenient: bool = False) -> DataFrame:
-    """``(id, vec array<double>)`` from lines of separated floats; ``id`` is a stable row id."""
+    """``(id, vec array<double>)`` from lines of separated floats; ``id`` is a hash of the line, so equal lines share it."""
     lines = spark.read.text(path)
     vec = F.transform(F.split(F.col("value"), sep), lambda x: _cast(x, "double", lenient))
-    return lines.select(F.monotonically_increasing_id().alias("id"), vec.alias("vec"))
+    return lines.select(F.xxhash64("value").alias("id"), vec.alias("vec"))
 
 
 def read_records(spark: SparkSession, path: str, name: str, extra: str) -> DataFrame:

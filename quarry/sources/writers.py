@@ -30,6 +30,19 @@ def write_rules(rules: DataFrame, path: str, mode: str = "overwrite") -> None:
     rules.select(line.alias("value")).write.mode(mode).text(path)
 
 
+def write_hits(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Text lines ``node<TAB>hub<TAB>authority``, sorted by node."""
+    line = F.concat_ws("\t", F.col("node").cast("string"), F.col("hub").cast("string"), F.col("authority").cast("string"))
+    scores.orderBy("node").select(line.alias("value")).write.mode(mode).text(path)
+
+
+def write_itemsets(itemsets: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Text lines ``a,b: support``, sorted by size, then items."""
+    line = F.format_string("%s: %s", F.array_join(F.transform("items", lambda x: x.cast("string")), ","),
+                           F.col("support").cast("string"))
+    itemsets.orderBy("size", "items").select(line.alias("value")).write.mode(mode).text(path)
+
+
 def write_groups(groups: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Long-form match groups as parquet (one row per member)."""
     groups.write.mode(mode).parquet(path)

@@ -3,7 +3,7 @@ import tempfile
 
 from quarry.operators.text import fingerprint_clusters
 from quarry.sources.readers import read_basket_rows, read_edges, read_lines, read_ratings, read_records, read_vectors
-from quarry.sources.writers import write_clusters, write_ratings, write_rules
+from quarry.sources.writers import write_clusters, write_hits, write_itemsets, write_ratings, write_rules
 
 
 def scratch():
@@ -21,8 +21,9 @@ def test_read_edges_separators(spark):
     write_text(p, ["a   b", "b c extra", "c\ta"])
     got = sorted(tuple(r) for r in read_edges(spark, p).collect())
     assert got == [("a", "b"), ("b", "c"), ("c", "a")]
+    write_text(p, ["a   b", "b c extra"])
     single = sorted(tuple(r) for r in read_edges(spark, p, sep=" ").collect())
-    assert ("a", "") in single  # single-space split keeps the empty field
+    assert single == [("a", ""), ("b", "c")]  # single-space split keeps the empty field
     nodes = {r.node for r in read_edges(spark, p, sep=" ", nodes=True).collect()}
     assert "extra" in nodes
     comma = os.path.join(d, "c.txt")
@@ -82,3 +83,29 @@ def test_ratings_strict_and_lenient_casts(spark):
     assert read_vectors(spark, v, lenient=True).first().vec == [1.0, None]
     with pytest.raises(PySparkException):
         read_ratings(spark, p).collect()  # ANSI cast: a malformed id fails the job, as the original parse did
+
+
+def test_repeated_header_and_short_edge_lines(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    d = scratch()
+    p = os.path.join(d, "r.csv")
+    write_text(p, ["userId,movieId,rating", "1,10,4.0", "userId,movieId,rating", "2,20,3.0"])
+    assert sorted(tuple(r) for r in read_ratings(spark, p).collect()) == [(1, 10, 4.0), (2, 20, 3.0)]
+    e = os.path.join(d, "e.txt")
+    write_text(e, ["a\u2003b", "c d"])
+    assert sorted(tuple(r) for r in read_edges(spark, e).collect()) == [("a", "b"), ("c", "d")]
+    write_text(e, ["a b", "alone"])
+    with pytest.raises(PySparkException, match="fewer than two fields"):
+        read_edges(spark, e).collect()
+
+
+def test_hits_and_itemset_writers(spark):
+    d = scratch()
+    write_hits(spark.createDataFrame([("b", 1.0, 0.0), ("a", 0.5, 1.0)], "node string, hub double, authority double"),
+               os.path.join(d, "hits"))
+    assert [r.value for r in spark.read.text(os.path.join(d, "hits")).collect()] == ["a\t0.5\t1.0", "b\t1.0\t0.0"]
+    write_itemsets(spark.createDataFrame([([1, 2], 2, 5), ([3], 1, 9)], "items array<long>, size int, support long"),
+                   os.path.join(d, "sets"))
+    assert [r.value for r in spark.read.text(os.path.join(d, "sets")).collect()] == ["3: 9", "1,2: 5"]
