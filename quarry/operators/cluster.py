@@ -1,16 +1,18 @@
 """Lloyd's k-means over an array column, with the centres held as literals.
 
 k centres of dimension d are a bounded table (k x d numbers), so each round
-ships them inside the expression: assignment is a row-local argmin, code
-generated, with no join at all; the new centres are a ``groupBy(cid)`` of d
-``avg`` columns whose partial aggregation leaves one row per cluster and map
-task, and the k result rows are the one collect per round.
+ships them inside the expression: assignment is a row-local argmin with no
+join at all; the new centres are a ``groupBy(cid)`` of one vector mean
+whose partial aggregation leaves one row per cluster and map task, and the k
+result rows are the one collect per round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +51,8 @@ def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequenc
     """
     # the points are read once per round: keep them in memory (spilling to disk); a lost
     # block is re-read from the source, the lineage being one scan and a cast
-    data = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).persist()
+    data = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    data = data.where(F.col("vec").isNotNull()).persist()
     try:
         return _lloyd(data, k, converge_dist, init, max_iter, seed)
     finally:
@@ -60,16 +63,15 @@ def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int |
     centres = [list(map(float, c)) for c in (init or init_centres(data, k, "id", "vec", seed))]
     if not centres:
         return centres, 0
-    dim = len(centres[0])
     rounds = 0
     while True:
         best = nearest(F.col("vec"), centres)
-        stats = (data.select(best["cid"].alias("cid"), "vec").groupBy("cid")
-                 .agg(*[F.avg(F.col("vec").getItem(d)).alias(f"m{d}") for d in range(dim)]).collect())
+        stats = (data.select(best["cid"].alias("cid"), array_to_vector("vec").alias("point")).groupBy("cid")
+                 .agg(Summarizer.mean(F.col("point")).alias("mean")).collect())
         shift = 0.0
         new = [list(c) for c in centres]
         for row in stats:
-            point = [row[f"m{d}"] for d in range(dim)]
+            point = [float(x) for x in row["mean"]]
             shift += sum((a - b) ** 2 for a, b in zip(centres[row["cid"]], point))
             new[row["cid"]] = point
         centres = new
@@ -83,7 +85,6 @@ def kmeans_fit_ml(df: DataFrame, k: int, max_iter: int = 20, tol: float = 1e-4,
                   vec_col: str = "vec") -> list[list[float]]:
     """MLlib's KMeans (k-means|| initialisation) on the same array column; returns the centres."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
     data = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed).fit(data)
