@@ -12,12 +12,14 @@ A text is scored as its token sequence: ASCII letters in lower case, words
 joined by one space, then an end symbol (byte 0xFF, which UTF-8 never uses);
 it starts from ``order`` start symbols (0xFE).
 
-At scale: tasks count packed byte grams of the highest order and send partial
-counts; one grouped sum gives the corpus counts and every lower order is
-summed from the next higher one.  All training texts are counted in full.  The
-trie that scorers hold has a documented bound, ``max_entries``: the smallest
-count from which the grams of all orders fit is the cut; rarer ones are left
-to the shorter contexts.  Scoring is row-local.
+At scale: no task holds the whole trie and no gram of it is left out.  Texts go
+in portions of about ``PORTION`` bytes; a portion's different grams of the
+highest order, with their counts in its training texts, are dealt out by the
+last ``NEAR`` bytes of the context.  So one shard has all counts of the orders
+``NEAR`` and up that its grams need, and it answers every portion with the log
+probabilities of the portion's grams.  Grams of the orders below ``NEAR`` have
+``NEAR`` bytes at most, a bound of the alphabet and not of the corpus; their
+counts are broadcast.  The number of shards grows with the text.
 
 The word-count base (:func:`base_table`, :func:`base_scores`) joins counts on
 the words: the ``HOT`` most frequent (a bounded list) are looked up in place, so
@@ -39,13 +41,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import map_columns, staged, strings
+from quarry.llm.common import small_batches, staged, strings
 from quarry.llm.pretokens import remembered
 
 START, END = 0xFE, 0xFF
 END_WORD = b"\n"  # no word holds a line end
 HOT = 1 << 16
 CHUNK = 1 << 20
+NEAR = 3  # grams of so many bytes are few in any corpus
+PORTION = 32 << 20
+MIN_SHARDS = 48
+SHARD = 16 << 20  # bytes of text for which there is one shard
 
 
 def tokens(text: str) -> list[bytes]:
@@ -74,86 +80,159 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def packed_grams(keys: np.ndarray, width: int) -> bytes:
+    """The ``width`` low bytes of every key, byte by byte; sorted keys so compress well."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked_grams(blob: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def shard_of(keys: np.ndarray, order: int, shards: int) -> np.ndarray:
+    """The shard of each gram, by the bytes next to the one that follows."""
+    near = (keys >> np.uint64(8)) & np.uint64((1 << (8 * min(NEAR, order))) - 1)
+    return (((near * _MIX) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
 # --- counting --------------------------------------------------------------------------------
 
-def corpus_counts(train: DataFrame, order: int, text_col: str = "text") -> DataFrame:
-    """``(kind, key, n)``: counts of words (kind 0) and of grams of the highest order (kind 1)."""
-    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("key", T.LongType()),
-                           T.StructField("n", T.LongType())])
+WORD_COUNT, NEAR_COUNT, GRAMS, TEXT = range(4)
+
 
-    def batch(kind, keys, n):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)),
-                                           pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
-                                          names=schema.fieldNames())
+def portions_of(rows: DataFrame, order: int, shards: int, portion: int) -> DataFrame:
+    """What one reading of ``(id, held_out, text)`` gives, by ``kind``: partial counts ``(key, n)`` of words and of
+    grams of ``NEAR`` bytes (training texts); ``(portion, shard, grams, counts)``, the different grams of a portion's
+    texts with their counts in its training texts; and ``(portion, id, held_out, words)``, the texts."""
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("portion", T.LongType()),
+                           T.StructField("shard", T.IntegerType()), T.StructField("key", T.LongType()),
+                           T.StructField("n", T.LongType()), T.StructField("grams", T.BinaryType()),
+                           T.StructField("counts", T.BinaryType()), T.StructField("words", T.BinaryType()),
+                           rows.schema["id"], T.StructField("held_out", T.BooleanType())])
+    small_batches(rows.sparkSession)
+    near = min(NEAR, order)
 
     def run(batches):
+        from pyspark import TaskContext
+        first = TaskContext.get().partitionId() << 32
+        done = size = 0
         words: Counter = Counter()
         parts: list = []
-        held = size = 0
         pad = bytes([START]) * order
-        buffer: list[bytes] = []
-
-        def flush_buffer():
-            nonlocal held, size
-            if buffer:
-                keys, n = np.unique(grams(b"".join(buffer), order), return_counts=True)
-                parts.append((keys, n))
-                held += len(keys)
-                buffer.clear()
-                size = 0
-            if held > 3 * CHUNK:
-                parts[:] = [_summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts]))]
-                held = len(parts[0][0])
+        buffers: dict[bool, list[bytes]] = {False: [], True: []}
+        sizes = {False: 0, True: 0}
+        id_type = None
+
+        def batch(kind, length, **columns):
+            kinds = {"portion": pa.int64(), "shard": pa.int32(), "key": pa.int64(), "n": pa.int64(), "grams": pa.binary(),
+                     "counts": pa.binary(), "words": pa.binary(), "id": id_type, "held_out": pa.bool_()}
+            got = [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns
+                   else pa.nulls(length, t) for c, t in kinds.items()]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(length, kind, np.int32)), *got], names=schema.fieldNames())
+
+        def flush(held):
+            if buffers[held]:
+                keys, n = np.unique(grams(b"".join(buffers[held]), order), return_counts=True)
+                parts.append((keys, n * (not held)))
+                buffers[held].clear()
+                sizes[held] = 0
+
+        def word_counts():
+            out = batch(WORD_COUNT, len(words), key=word_keys(list(words)), n=np.fromiter(words.values(), np.int64, len(words)))
+            words.clear()
+            return out
+
+        def close():
+            nonlocal done, size
+            flush(False)
+            flush(True)
+            keys, n = _summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+            parts.clear()
+            seen = n > 0
+            low, low_n = _summed(keys[seen] & np.uint64((1 << (8 * near)) - 1), n[seen])
+            yield batch(NEAR_COUNT, len(low), key=low.view(np.int64), n=low_n)
+            shard = shard_of(keys, order, shards)
+            rank = np.argsort(shard, kind="stable")  # the grams of a shard stay sorted
+            have, at = np.unique(shard[rank], return_index=True)
+            pieces = [rank[i:j] for i, j in zip(at, [*at[1:], len(rank)])]
+            yield batch(GRAMS, len(have), portion=np.full(len(have), first + done), shard=have.astype(np.int32),
+                        grams=[packed_grams(keys[x], order + 1) for x in pieces],
+                        counts=[packed_grams(n[x], 4) for x in pieces])
+            done, size = done + 1, 0
 
         for b in batches:
-            for text in strings(b.column(0)):
+            ids, held, texts = b.column("id"), b.column("held_out").to_pylist(), strings(b.column("text"))
+            id_type = ids.type
+            start, bodies = 0, []
+            for i, text in enumerate(texts):
                 w = tokens(text)
-                words.update(w)
-                words[END_WORD] += 1
-                buffer.append(pad + b" ".join(w) + bytes([END]))
-                size += len(buffer[-1])
-                if size > CHUNK:
-                    flush_buffer()
-            if len(words) > 250_000:
-                yield batch(0, word_keys(list(words)), np.fromiter(words.values(), np.int64, len(words)))
-                words.clear()
-            if held > 2 * CHUNK:  # so many are different: send them on
-                yield batch(1, *_summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])))
-                parts.clear()
-                held = 0
-        flush_buffer()
+                body = b" ".join(w)
+                bodies.append(body)
+                if not held[i]:
+                    words.update(w)
+                    words[END_WORD] += 1
+                buffers[held[i]].append(pad + body + bytes([END]))
+                sizes[held[i]] += len(body) + 1
+                size += len(body) + 1
+                if sizes[held[i]] > CHUNK:
+                    flush(held[i])
+                if size > portion or i + 1 == len(texts):
+                    yield batch(TEXT, len(bodies), portion=np.full(len(bodies), first + done), words=bodies,
+                                id=ids.slice(start, len(bodies)), held_out=held[start:i + 1])
+                    start, bodies = i + 1, []
+                if size > portion:
+                    yield from close()
+                if len(words) > 250_000:
+                    yield word_counts()
+        if size:
+            yield from close()
         if words:
-            yield batch(0, word_keys(list(words)), np.fromiter(words.values(), np.int64, len(words)))
-        if parts:
-            yield batch(1, *_summed(np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])))
-
-    return train.select(text_col).mapInArrow(run, schema).groupBy("kind", "key").agg(F.sum("n").alias("n"))
-
-
-def trie_entries(counts: DataFrame, order: int, max_entries: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per order 0..``order`` the kept grams and their counts, at most ``max_entries`` in all."""
-    level = counts.where("kind = 1").select("key", "n")
-    levels = {order: level}
-    for d in range(order - 1, -1, -1):
-        level = level.groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-        levels[d] = level
-    every = None
-    for d, t in levels.items():
-        t = t.select(F.lit(d).alias("d"), "key", "n")
-        every = t if every is None else every.union(t)
-    every = staged(every, "ppm-trie")
-    cuts = sorted({int(1.35 ** i) for i in range(90)})
-    sizes = every.agg(*[F.count(F.when(F.col("n") >= c, 1)).alias(f"c{c}") for c in cuts]).first()
-    cut = next((c for c in cuts if sizes[f"c{c}"] <= max_entries), cuts[-1])
-    kept = every.where(F.col("n") >= cut).toArrow()
-    d, key, n = (kept.column(c).to_numpy() for c in ("d", "key", "n"))
+            yield word_counts()
+
+    return rows.mapInArrow(run, schema)
+
+
+def near_entries(counts: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The grams and counts of the orders below ``NEAR``, from the counts ``(key, n)`` of those of ``NEAR`` bytes."""
+    got = counts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 256 ** NEAR
+    level = _summed(got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy())
     out = []
-    for o in range(order + 1):
-        at = d == o
-        k = key[at].view(np.uint64)
-        rank = np.argsort(k)
-        out.append((k[rank], n[at][rank]))
-    return out
+    for d in range(min(NEAR, order) - 1, -1, -1):
+        level = _summed(level[0] & np.uint64((1 << (8 * (d + 1))) - 1), level[1])
+        out.append(level)
+    return out[::-1]
+
+
+def far_entries(keys: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The grams and counts of the orders from ``NEAR`` up of one shard, from those of the highest order."""
+    level = (keys, n)
+    out = [level]
+    for d in range(order - 1, min(NEAR, order) - 1, -1):
+        level = _summed(level[0] & np.uint64((1 << (8 * (d + 1))) - 1), level[1])
+        out.append(level)
+    return out[::-1]
+
+
+def answers(asked: DataFrame, near: list[tuple[np.ndarray, np.ndarray]], order: int) -> DataFrame:
+    """``(portion, grams, logs)``: natural log probabilities of the grams that each portion has, shard by shard."""
+    schema = T.StructType([T.StructField("portion", T.LongType()), T.StructField("grams", T.BinaryType()),
+                           T.StructField("logs", T.BinaryType())])
+    shared = asked.sparkSession.sparkContext.broadcast(near)
+
+    def answer(table):
+        lists = [unpacked_grams(x, order + 1) for x in table.column("grams").to_pylist()]
+        n = np.concatenate([unpacked_grams(x, 4) for x in table.column("counts").to_pylist()]).astype(np.int64)
+        keys, n = _summed(np.concatenate(lists), n)
+        seen = n > 0
+        trie = Trie([*shared.value, *far_entries(keys[seen], n[seen], order)])
+        logs = trie.log_probs(keys).astype("<f4")
+        return pa.table([table.column("portion"), table.column("grams"),
+                         pa.array([logs[np.searchsorted(keys, k)].tobytes() for k in lists], pa.binary())],
+                        names=schema.fieldNames())
+    return asked.select("portion", "shard", "grams", "counts").groupBy("shard").applyInArrow(answer, schema)
 
 
 # --- the model -------------------------------------------------------------------------------
@@ -161,6 +240,43 @@ def trie_entries(counts: DataFrame, order: int, max_entries: int) -> list[tuple[
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Slots:
+    """Open addressing from grams to 32-bit values, half full at most."""
+
+    def __init__(self, keys: np.ndarray, value: np.ndarray):
+        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.value = np.zeros(1 << bits, np.float32)
+        at = ((keys * _MIX) >> self.shift).astype(np.int64)
+        todo, self.probes, mask = np.arange(len(keys)), 0, (1 << bits) - 1
+        while len(todo):
+            self.probes += 1
+            free = self.slots[at[todo]] == np.uint64(0xFFFFFFFFFFFFFFFF)
+            spot, who = np.unique(at[todo[free]], return_index=True)
+            put = todo[free][who]
+            self.slots[spot], self.value[spot] = keys[put], value[put]
+            done = np.zeros(len(keys), bool)
+            done[put] = True
+            todo = todo[~done[todo]]
+            at[todo] = (at[todo] + 1) & mask
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each gram is here, and its value or 0."""
+        out = np.zeros(len(key))
+        at = ((key * _MIX) >> self.shift).astype(np.int64)
+        hit = self.slots[at] == key
+        out[hit] = self.value[at[hit]]
+        probe = np.flatnonzero(~hit)
+        for _ in range(1, self.probes):
+            at[probe] = (at[probe] + 1) & (len(self.slots) - 1)
+            got = self.slots[at[probe]] == key[probe]
+            out[probe[got]] = self.value[at[probe[got]]]
+            hit[probe[got]] = True
+            probe = probe[~got]
+        return hit, out
+
+
 class Trie:
     """Log probabilities (natural) from the counted grams of every order."""
 
@@ -194,44 +310,13 @@ class Trie:
                 self.log_esc.append(np.zeros(len(nodes)))
             total_below, kinds_below = total, kinds
         self.log_rest = -np.log(256.0 - len(self.keys[0])) if len(self.keys[0]) < 256 else 0.0
-        self._hash_top()
-
-    def _hash_top(self) -> None:
-        """Open addressing over the grams of the highest order, half full at most."""
-        keys = self.keys[-1]
-        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
-        self.shift = np.uint64(64 - bits)
-        self.slots = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.value = np.zeros(1 << bits, np.float32)
-        node = np.searchsorted(self.nodes[-1], keys >> np.uint64(8))
-        value = (self.log_count[-1] - self.log_top_den[-1][node]).astype(np.float32) if len(keys) else np.empty(0, np.float32)
-        at = ((keys * _MIX) >> self.shift).astype(np.int64)
-        todo, self.probes, mask = np.arange(len(keys)), 0, (1 << bits) - 1
-        while len(todo):
-            self.probes += 1
-            free = self.slots[at[todo]] == np.uint64(0xFFFFFFFFFFFFFFFF)
-            spot, who = np.unique(at[todo[free]], return_index=True)
-            put = todo[free][who]
-            self.slots[spot], self.value[spot] = keys[put], value[put]
-            done = np.zeros(len(keys), bool)
-            done[put] = True
-            todo = todo[~done[todo]]
-            at[todo] = (at[todo] + 1) & mask
+        top, nodes = self.keys[-1], self.nodes[-1]
+        self.top = Slots(top, (self.log_count[-1] - self.log_top_den[-1][np.searchsorted(nodes, top >> np.uint64(8))])
+                         if len(top) else np.empty(0))
 
     def log_probs(self, key: np.ndarray) -> np.ndarray:
         """Natural log probability of every gram's last byte after its context."""
-        out = np.zeros(len(key))
-        at = ((key * _MIX) >> self.shift).astype(np.int64)
-        hit = self.slots[at] == key
-        out[hit] = self.value[at[hit]]
-        rest = np.flatnonzero(~hit)
-        probe = rest
-        for _ in range(1, self.probes):
-            at[probe] = (at[probe] + 1) & (len(self.slots) - 1)
-            got = self.slots[at[probe]] == key[probe]
-            out[probe[got]] = self.value[at[probe[got]]]
-            hit[probe[got]] = True
-            probe = probe[~got]
+        hit, out = self.top.find(key)
         rest = np.flatnonzero(~hit)
         above = np.full(len(rest), -1)
         for d in range(self.order, -1, -1):
@@ -266,17 +351,20 @@ class Trie:
         out[rest] += self.log_rest
         return out
 
-    def text_scores(self, token_lists: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each token sequence with its end symbol."""
-        pad, end = bytes([START]) * self.order, bytes([END])
-        bodies = [b" ".join(t) + end for t in token_lists]
-        logs = self.log_probs(grams(b"".join(pad + x for x in bodies), self.order))
-        starts = np.cumsum([0, *map(len, bodies[:-1])])
-        return np.add.reduceat(logs, starts) / np.log(10.0)
 
+def text_scores(logs_of: Slots, bodies: list[bytes], order: int) -> np.ndarray:
+    """log10 probability of each text's words with its end symbol, from the logs of all their grams."""
+    pad, end = bytes([START]) * order, bytes([END])
+    bodies = [x + end for x in bodies]
+    hit, logs = logs_of.find(grams(b"".join(pad + x for x in bodies), order))
+    if not hit.all():
+        raise ValueError("a gram of the portion was not answered")
+    starts = np.cumsum([0, *map(len, bodies[:-1])])
+    return np.add.reduceat(logs, starts) / np.log(10.0)
 
-def portions(texts: list[str], chars: int = CHUNK):
-    """Stretches of a list of texts of about so many characters, each text whole."""
+
+def portions(texts: list, chars: int = CHUNK):
+    """Stretches of a list of texts of about so many characters or bytes, each text whole."""
     start = size = 0
     for i, t in enumerate(texts):
         size += len(t)
@@ -289,8 +377,8 @@ def portions(texts: list[str], chars: int = CHUNK):
 
 # --- scoring ---------------------------------------------------------------------------------
 
-def score_texts(docs: DataFrame, train_when, order: int = 5, max_entries: int = 2_500_000, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, train_when, order: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                portion: int = PORTION, shard: int = SHARD) -> DataFrame:
     """Score every row of ``docs`` after learning from those where ``train_when`` (a column) is true.
 
     Returns ``(<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
@@ -298,26 +386,28 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, max_entries: int =
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        (~F.coalesce(train_when, F.lit(False))).alias("held_out"))
-    counts = staged(corpus_counts(rows.where("not held_out"), order), "ppm-counts")
-    words = counts.where("kind = 0").select("key", F.col("n").alias("c"))
+    text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    read = staged(portions_of(rows, order, MIN_SHARDS + text_bytes // shard, portion), "ppm-portions")
+    words = staged(read.where(F.col("kind") == WORD_COUNT).groupBy("key").agg(F.sum("n").alias("c")), "ppm-words")
     total = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     n_train, n_words = total[0] or 0, total[1]
     base_den = float(np.log10(n_train + n_words + 1))
     hot = words.orderBy(F.desc("c"), "key").limit(HOT).toArrow()  # a bounded list
-    hot_keys = hot.column("key").to_numpy()
-    rank = np.argsort(hot_keys)
-    shared = spark.sparkContext.broadcast((trie_entries(counts, order, max_entries), hot_keys[rank],
-                                           hot.column("c").to_numpy()[rank]))
+    shared = spark.sparkContext.broadcast((hot.column("key").to_numpy(), hot.column("c").to_numpy()))
+    near = near_entries(read.where(F.col("kind") == NEAR_COUNT).select("key", "n"), order)
+    answered = answers(read.where(F.col("kind") == GRAMS), near, order)
     name = f"ppm-{id(shared)}-{spark.sparkContext.applicationId}"
 
-    def make():
+    def hot_words():
+        keys, c = shared.value
+        return dict(zip(keys.tolist(), (np.log10(c + 1.0) - base_den).tolist())), {}
+
+    def score(texts, answer):
         from collections import Counter as Count
-        entries, keys, c = shared.value
-        trie = remembered(name, lambda: Trie(entries))
-        hot_logs = dict(zip(keys.tolist(), (np.log10(c + 1.0) - base_den).tolist()))
-        seen: dict[bytes, int] = {}
+        hot_logs, seen = remembered(name, hot_words)
+        scores, n_tokens, known, base, cold_keys, cold_n = [], [], [], [], [], []
 
-        def one(w, n_tokens, known, base, cold_keys, cold_n):
+        def one(w):
             """The base of one text: hot words at once, the others as arrays for the join."""
             tf = Count(w)
             tf[END_WORD] += 1
@@ -341,22 +431,25 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, max_entries: int =
             cold_keys.append(np.array(ck, np.int64))
             cold_n.append(np.array(cn, np.int32))
 
-        def fn(col):
-            scores, n_tokens, known, base, cold_keys, cold_n = [], [], [], [], [], []
-            for part in portions(strings(col)):
-                lists = [tokens(t) for t in part]
-                scores.append(trie.text_scores(lists))
-                for w in lists:
-                    one(w, n_tokens, known, base, cold_keys, cold_n)
-            return [pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(np.concatenate(scores), pa.float64()), pa.array(cold_keys, pa.list_(pa.int64())),
-                    pa.array(cold_n, pa.list_(pa.int32()))]
-        return fn
-
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("hot_known", T.LongType()),
-              T.StructField("hot_base", T.DoubleType()), T.StructField("score", T.DoubleType()),
-              T.StructField("cold", T.ArrayType(T.LongType())), T.StructField("cold_n", T.ArrayType(T.IntegerType()))]
-    scored = staged(map_columns(rows, ["text"], fields, make).withColumn("rid", F.monotonically_increasing_id()), "ppm-scored")
+        logs_of = Slots(np.concatenate([unpacked_grams(x, order + 1) for x in answer.column("grams").to_pylist()]),
+                        np.concatenate([np.frombuffer(x, "<f4") for x in answer.column("logs").to_pylist()]))
+        for part in portions(texts.column("words").to_pylist()):
+            scores.append(text_scores(logs_of, part, order))
+            for body in part:
+                one(body.split())
+        return pa.table([texts.column("id"), texts.column("held_out"), pa.array(n_tokens, pa.int64()),
+                         pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                         pa.array(np.concatenate(scores), pa.float64()), pa.array(cold_keys, pa.list_(pa.int64())),
+                         pa.array(cold_n, pa.list_(pa.int32()))], names=schema.fieldNames())
+
+    schema = T.StructType([rows.schema["id"], T.StructField("held_out", T.BooleanType()),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("hot_known", T.LongType()),
+                           T.StructField("hot_base", T.DoubleType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("cold", T.ArrayType(T.LongType())),
+                           T.StructField("cold_n", T.ArrayType(T.IntegerType()))])
+    texts = read.where(F.col("kind") == TEXT).select("portion", "id", "held_out", "words")
+    scored = texts.groupBy("portion").cogroup(answered.groupBy("portion")).applyInArrow(score, schema)
+    scored = staged(scored.withColumn("rid", F.monotonically_increasing_id()), "ppm-scored")
     cold = (scored.select("rid", F.explode(F.arrays_zip("cold", "cold_n")).alias("z"))
             .select("rid", F.col("z.cold").alias("key"), F.col("z.cold_n").alias("m")))
     per_row = (cold.join(words, "key", "left").groupBy("rid")

@@ -328,6 +328,21 @@ def test_ppm_equals_the_textbook_and_sums_to_one(spark):
     assert ppm.score_texts(docs.limit(0), learns).count() == 0
 
 
+def test_ppm_keeps_every_gram_in_any_portions(spark):
+    rng = np.random.default_rng(9)
+    texts = ["".join(map(chr, rng.integers(97, 123, 1000))) for _ in range(1200)]  # 2.7 million grams of all orders
+    docs = docs_of(spark, [*texts, *texts[:3]]).repartition(3)
+    learns = F.col("doc_id") < len(texts)
+    got = {r.doc_id: r.score for r in ppm.score_texts(docs, learns).collect()}
+    cut = {r.doc_id: r.score for r in ppm.score_texts(docs, learns, portion=100_000, shard=100_000).collect()}
+    assert got.keys() == cut.keys() and all(math.isclose(got[i], cut[i], rel_tol=1e-9) for i in got)
+    prob = brute_ppm([t.encode() + bytes([ppm.END]) for t in texts], 5)
+    for i in range(3):
+        x = bytes([ppm.START]) * 5 + texts[i].encode() + bytes([ppm.END])
+        want = sum(math.log10(prob(x[p - 5:p], x[p])) for p in range(5, len(x)))
+        assert math.isclose(got[i], want, rel_tol=1e-5) and math.isclose(got[i + len(texts)], want, rel_tol=1e-5)
+
+
 def test_pipeline_stages_by_their_parts(spark):
     import corpus_pipeline as P
     d = "/root/testdata/sf0.001"
