@@ -129,6 +129,25 @@ def test_kneser_ney_probabilities_sum_to_one_and_classify(spark):
     assert none.count() == len(TEXTS) and none.columns == docs_of(spark, TEXTS).columns
 
 
+def kneser_ney_table(spark, n, rare, long_words=0):
+    """Trusted documents of one language and a few of another with other words; the first in md5 order may be long."""
+    rng = np.random.default_rng(3)
+    langs = ["xx" if i < rare else "en" for i in range(n)]
+    texts = [" ".join(f"{g}{x}" for x in rng.integers(0, 300 if g == "xx" else 40, 40)) for g in langs]
+    if long_words:
+        texts[min(range(n), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())] = "en1 " * long_words
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(texts, langs))], "doc_id long, text string, lang string")
+    return docs, docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+
+
+def test_kneser_ney_limits_a_rare_language_by_all_its_trusted_documents(spark):
+    docs, labels = kneser_ney_table(spark, 4000, 120)
+    out = kneser_ney.classify(docs, labels, max_docs=80, keep=["doc_id"]).select("row.lang", "threshold", "kept").collect()
+    limits = {r.lang: r.threshold for r in out}
+    assert len({r.threshold for r in out}) == 2 and limits["xx"] > 2 * limits["en"]
+    assert sum(r.kept for r in out if r.lang == "xx") >= 114 and sum(r.kept for r in out if r.lang == "en") >= 3800
+
+
 def brute_links(texts, t=0.8):
     sets = []
     for x in texts:
