@@ -148,6 +148,19 @@ def test_kneser_ney_limits_a_rare_language_by_all_its_trusted_documents(spark):
     assert sum(r.kept for r in out if r.lang == "xx") >= 114 and sum(r.kept for r in out if r.lang == "en") >= 3800
 
 
+def test_kneser_ney_passes_over_a_text_beyond_the_word_bound(spark):
+    docs, labels = kneser_ney_table(spark, 400, 0, long_words=5000)
+    for bound in (1000, 7000):  # the long text alone is beyond the first, and takes most of the second
+        trusted = kneser_ney.trusted_ids(labels)
+        sample = kneser_ney.training_sample(docs, trusted, 100, bound).select(F.size(F.split("text", " ")).alias("n")).collect()
+        assert len(sample) >= 12 and sum(r.n for r in sample) <= bound
+    out = kneser_ney.classify(docs, labels, max_docs=100, max_words=1000, keep=["doc_id"])
+    assert out.where("perplexity is null").count() == 0 and out.where("kept").count() >= 380
+    with pytest.raises(ValueError):
+        kneser_ney.classify(docs, labels, max_words=10)
+    assert kneser_ney.classify(docs.limit(0), labels).count() == 0
+
+
 def brute_links(texts, t=0.8):
     sets = []
     for x in texts:
