@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (byte_bpe, curriculum, kneser_ney, ngram_join, ppm, quality_rules, sharding, token_files, warc,
-                        winnowing)
+from quarry.llm import (byte_bpe, curriculum, decontamination, fim, kneser_ney, ngram_join, ppm, quality_rules, sharding,
+                        spelling, token_files, warc, winnowing)
 from quarry.llm.common import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -81,6 +81,21 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_texts(table(spark, sf_dir, "documents"), learns)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+                      F.sha2(F.encode(fim.restored(F.col("output"), F.col("form")), "UTF-8"), 256).alias("restored_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_kneser_ney": op2_kneser_ney,
@@ -92,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_token_files": op9_token_files,
     "op10_ppm": op10_ppm,
+    "op11_decontamination": op11_decontamination,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others are held against brute force in tests/llm.
@@ -133,4 +151,51 @@ o AS (SELECT *, [CASE WHEN slope = 0 THEN least(x / target, 1) ELSE 2 * least(x
                  ((1 + slope) + sqrt(greatest((1 + slope) * (1 + slope) - 4 * slope * least(x / target, 1), 0))) END FOR x IN passes] AS t FROM q)
 SELECT doc_id, size, source_size, target, (len(passes) * size)::BIGINT AS taken, round(t[1], 9) AS position,
        round(t[2], 9) AS second_position FROM o""",
+    "op11_decontamination": r"""
+WITH d0 AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+w AS (SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+      FROM (SELECT item, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM (SELECT *, least(len(ws), 10) AS size FROM b WHERE len(ws) > 0))),
+p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d0),
+h AS (SELECT r, i, size, win FROM (SELECT r, i, size, array_to_string(ws[i:i + size - 1], ' ') AS win FROM p, (SELECT DISTINCT size FROM w)
+      WHERE i + size - 1 <= len(ws)) WHERE win IN (SELECT win FROM w)),
+c AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS k FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item FROM h JOIN w ON h.size = w.size AND h.win = w.win) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d0 LEFT JOIN c ON d0.r = c.r LEFT JOIN t ON d0.r = t.r""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, len(u) AS n, ('0x' || substr(x, 1, 8))::BIGINT % (len(u) + 1) AS r1, ('0x' || substr(x, 9, 8))::BIGINT % (len(u) + 1) AS r2,
+             ('0x' || substr(x, 17, 8))::BIGINT % 100 AS r3, ('0x' || substr(x, 25, 8))::BIGINT % 100 AS r4 FROM d),
+c AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r3 >= 90 THEN 'plain'
+                     WHEN r4 < 20 THEN 'spm' ELSE 'psm' END AS form, array_to_string(u[1:least(r1, r2)], '') AS pre,
+             array_to_string(u[least(r1, r2) + 1:greatest(r1, r2)], '') AS mid, array_to_string(u[greatest(r1, r2) + 1:], '') AS suf FROM h)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM c""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE r0 AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+r1 AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+       FROM r0 WHERE length(run) >= 5 GROUP BY ALL),
+r2 AS (SELECT run, k, hex(encode(id || ':' || run)) AS x FROM r1),
+r3 AS (SELECT run, k, xor(list_reduce(list_transform(range(len(x) * 4), lambda i: CASE WHEN i % 8 = 0
+                THEN ('0x' || substr(x, i // 4 + 1, 2))::BIGINT ELSE 0 END),
+                lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END, 4294967295), 4294967295) AS h FROM r2),
+w0 AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word, k FROM r3),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM w0 WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+x AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS d FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+e AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.i = b.i AND a.d = b.d WHERE a.word <> b.word
+      UNION SELECT x.word, w.word FROM x JOIN w ON x.d = w.word UNION SELECT w.word, x.word FROM x JOIN w ON x.d = w.word),
+f AS (SELECT e.word, count(*) AS n_near, first(e.other ORDER BY o.n DESC, e.other) AS other, max(o.n) AS other_n FROM e JOIN w o ON e.other = o.word GROUP BY e.word),
+j AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+             CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM w LEFT JOIN f ON w.word = f.word),
+s AS (SELECT word, word AS root, 0 AS step FROM j UNION ALL SELECT s.word, j.form, step + 1 FROM s JOIN j ON s.root = j.word WHERE j.form IS NOT NULL)
+SELECT j.word, form, arg_max(root, step) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM j JOIN s ON j.word = s.word
+GROUP BY j.word, form, n, n_near, form_n""",
 }

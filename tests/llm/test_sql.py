@@ -11,7 +11,7 @@ D = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{D}/{t}.parquet'")
     rel = con.sql(ORACLE[name])
     got = QUERIES[name](spark, D)
