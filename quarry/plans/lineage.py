@@ -1,16 +1,106 @@
-"""Lineage control for iterative operators (PageRank, HITS, ALS, BFS, k-means).
+"""Lineage control and the lifetime of intermediate tables.
 
 Loop state is cut with reliable ``checkpoint()`` into the shared folder named
 by ``spark.checkpoint.dir``; a lost executor then recomputes from the last
-checkpoint instead of from the start of the loop.
+checkpoint instead of from the start of the loop.  Spark deletes a checkpoint
+once nothing refers to it (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+
+Larger tables are *staged*: written as Parquet below the same folder and read
+back, which keeps column pruning, statistics and AQE's view of their size.  A staged
+table belongs to the innermost open :class:`Scope` and is deleted when that ends::
+
+    with scope(spark):
+        result = operator(...)
+        result.write.parquet(out)     # whatever is lazy has to run in here
+
+Without an open scope staged tables stay until the folder is cleared.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from quarry.session import ensure_checkpoint_dir
 
+_open_scopes: list["Scope"] = []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; a folder that is not there is no error."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scope:
+    """Owner of staged folders."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    @contextmanager
+    def owning(self) -> Iterator["Scope"]:
+        """Folders staged inside belong to this scope, which stays open."""
+        _open_scopes.append(self)
+        try:
+            yield self
+        finally:
+            _open_scopes.remove(self)
+
+    def feeds(self, df: DataFrame) -> bool:
+        """Whether ``df`` still reads a folder of this scope."""
+        names = [p.rsplit("/", 1)[-1] for p in self.paths]
+        return bool(names) and any(n in f for f in df.inputFiles() for n in names)
+
+    def release(self) -> None:
+        while self.paths:
+            delete_folder(self.spark, self.paths.pop())
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """A scope whose folders are deleted at its end."""
+    own = Scope(spark)
+    try:
+        with own.owning():
+            yield own
+    finally:
+        own.release()
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder (``spark.checkpoint.dir``), owned by the innermost scope."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].paths.append(path)
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but keeps column pruning and file
+    statistics for later reads, and both sides of a later join are plain scans
+    that AQE can split when a key is hot.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstaged(df: DataFrame) -> None:
+    """Delete the folder of a staged table that nothing reads any more, before its scope ends."""
+    names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+    for own in _open_scopes:
+        for path in [p for p in own.paths if p.rsplit("/", 1)[-1] in names]:
+            own.paths.remove(path)
+            delete_folder(own.spark, path)
+
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and drop its lineage."""
