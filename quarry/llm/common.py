@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
@@ -10,29 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.plans.lineage import scope, staged, unstaged, work_dir  # noqa: F401  re-exported
 
 #: Fixed value: the word pattern of the contracts, in Java and DuckDB syntax.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder (``spark.checkpoint.dir``)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage like a checkpoint, but keeps column pruning and file
-    statistics for later reads, and both sides of a later join are plain scans
-    that AQE can split when a key is hot.
-    """
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def packed(df: DataFrame, *inputs: str, keep: Sequence[str] | None = None) -> DataFrame:
     """``(row, in_<input>...)``: the row (its columns ``keep``, default all) as one
     struct, so that added columns never clash with the table's; inputs that are
