@@ -11,6 +11,7 @@ writes to, and a task that is run again leaves no trace.
 from __future__ import annotations
 
 import gzip
+import io
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,3 +34,22 @@ def write_blobs(df: DataFrame, path: str, blob: str, partition_by: str | None =
     cols = [checked.alias("value")] + ([F.col(partition_by)] if partition_by else [])
     writer = df.select(*cols).write.option("lineSep", "\u0000").option("maxRecordsPerFile", records_per_file)
     (writer.partitionBy(partition_by) if partition_by else writer).text(path)
+
+
+def plain_path(uri: str) -> str | None:
+    """The path of a file in a mounted folder; None for other stores."""
+    if "://" in uri and not uri.startswith("file:"):
+        return None
+    return "/" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
+
+
+def open_members(uri: str) -> io.BufferedReader:
+    """The uncompressed bytes of a file of gzip members, as a stream; other stores are read through ``pyarrow.fs``."""
+    name = plain_path(uri)
+    if name is None:
+        from pyarrow import fs
+        store, name = fs.FileSystem.from_uri(uri)
+        raw = store.open_input_stream(name)
+    else:
+        raw = open(name, "rb")
+    return io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20)

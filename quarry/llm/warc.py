@@ -11,8 +11,9 @@ a record.
 pre-aggregated to the record with the largest page id, groups of one are left
 out, and the headers meet the remaining originals in a join of two staged
 tables, where AQE can split a digest that holds a third of all rows.
-``write_deduplicated`` rereads the payloads, writes the originals with fresh
-headers and the copies as revisit records that refer to them.
+``write_deduplicated`` sends each archive's decisions to the task that rewrites
+it: originals with fresh headers, copies as revisit records that refer to them.
+No payload is shuffled.
 
 Defined results: a null payload is empty; a null page id is the smallest; of
 rows with equal page ids and payloads one is the response and the others
@@ -27,17 +28,17 @@ import gzip
 import hashlib
 import io
 import uuid
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.binary_sink import gzip_member, write_blobs
+from quarry.llm.binary_sink import gzip_member, open_members, write_blobs
 from quarry.llm.common import staged
 
 RECORDS_PER_FILE = 5_000
+TASK_BYTES = 16 << 20  # payload for which there is one rewriting task
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
@@ -65,10 +66,10 @@ def _http(payload_bytes: int) -> bytes:
     return (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {payload_bytes}\r\n\r\n").encode()
 
 
-def response(page_id, url, payload: bytes, record_id: str, date: str = DATE) -> bytes:
+def response(page_id, url, payload: bytes, record_id: str, date: str = DATE, payload_digest: str | None = None) -> bytes:
     block = _http(len(payload)) + payload
     return _record([("WARC-Type", "response"), ("WARC-Record-ID", record_id), ("WARC-Date", date), ("WARC-Target-URI", url),
-                    ("WARC-Payload-Digest", "sha1:" + digest(payload)), ("WARC-Block-Digest", "sha1:" + digest(block)),
+                    ("WARC-Payload-Digest", "sha1:" + (payload_digest or digest(payload))), ("WARC-Block-Digest", "sha1:" + digest(block)),
                     ("Page-ID", None if page_id is None else str(page_id)),
                     ("Content-Type", "application/http; msgtype=response")], block)
 
@@ -107,6 +108,12 @@ def parse_records(stream):
         yield fields, block
 
 
+def payload_of(block: bytes) -> tuple[int, bytes]:
+    """The payload's length by the HTTP headers (a revisit's block ends with them), and the payload that is there."""
+    head, _, payload = block.partition(CRLF * 2)
+    return int(next(x.split(b":")[1] for x in head.split(CRLF) if x.lower().startswith(b"content-length"))), payload
+
+
 def _new_id(*parts) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(repr(parts).encode()).digest())}>"
 
@@ -131,22 +138,20 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     write_blobs(rows.mapInArrow(run, _BLOBS), path, "blob", records_per_file=RECORDS_PER_FILE)
 
 
-def read_archives(spark: SparkSession, path: str, payloads: str | None = None) -> DataFrame:
-    """The header fields of every record below ``path``, and its ``payload`` as it is ("raw") or
-    under zlib ("packed", for tables that are shuffled next)."""
+def read_archives(spark: SparkSession, path: str, payloads: bool | str = False) -> DataFrame:
+    """The header fields of every record below ``path``, with ``payloads`` also its ``payload``."""
     schema = T.StructType([*HEADERS.fields, *([T.StructField("payload", T.BinaryType())] if payloads else [])])
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def rows_of(name, content):
         for place, (f, block) in enumerate(parse_records(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content))))):
-            head, _, payload = block.partition(CRLF * 2)
-            length = int(next(x.split(b":")[1] for x in head.split(CRLF) if x.lower().startswith(b"content-length")))
+            length, payload = payload_of(block)
             kind = f["warc-type"]
             page, to_page = f.get("page-id"), f.get("refers-to-page-id")
             row = (name, place, page and int(page), f.get("warc-target-uri"), f.get("warc-date"), f["warc-record-id"], kind,
                    f.get("warc-refers-to"), to_page and int(to_page), length,
                    f["warc-payload-digest"].removeprefix("sha1:") if kind == "revisit" else digest(payload))
-            yield (*row, zlib.compress(payload, 6) if payloads == "packed" else payload) if payloads else row
+            yield (*row, payload) if payloads else row
 
     def run(batches):
         for b in batches:
@@ -188,23 +193,38 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_deduplicated(spark: SparkSession, source: str, resolved: DataFrame, path: str) -> None:
-    """Archives in which copies are revisit records; all headers are written afresh."""
-    decisions = resolved.select("archive", "place", "new_type", "o_page_id", "o_record_id", "o_url", "o_date")
-    # copies need no payload: only originals travel with theirs
-    records = read_archives(spark, source, payloads="packed").join(decisions, ["archive", "place"])
-    records = records.withColumn("payload", F.when(F.col("new_type") == "response", F.col("payload")))
-    names = ["record_id", "page_id", "url", "date", "payload_bytes", "payload_digest", "new_type", "payload", "o_record_id",
-             "o_page_id", "o_url", "o_date"]
+    """Archives in which copies are revisit records; all headers are written afresh.
+
+    Only decisions are shuffled: a task gets those of whole archives in the order of their
+    records, opens each archive once and rewrites it record by record.
+    """
+    names = ["archive", "place", "payload_digest", "new_type", "o_record_id", "o_page_id", "o_url", "o_date"]
+    archives, size = resolved.agg(F.countDistinct("archive"), F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()
+    tasks = max(1, min(archives, max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
+    decisions = resolved.select(*names).repartitionByRange(tasks, "archive").sortWithinPartitions("archive", "place")
 
     def run(batches):
+        name, records = None, iter(())
         for b in batches:
-            out = []
-            for rid, page, url, date, n, dig, kind, payload, *original in zip(*[b.column(c).to_pylist() for c in names]):
-                out.append(gzip_member(response(page, url, zlib.decompress(payload), rid, date) if kind == "response" else
-                                       revisit(page, url, n, dig, rid, tuple(original), date)))
+            out, held = [], 0
+            for archive, place, dig, kind, *original in zip(*[b.column(c).to_pylist() for c in names]):
+                if archive != name:
+                    name, records = archive, enumerate(parse_records(open_members(f"{source}/{archive}")))
+                at, (f, block) = next(records)
+                if at != place:
+                    raise ValueError(f"record {place} of {archive} has no decision")
+                length, payload = payload_of(block)
+                page, rid, url, date = f.get("page-id"), f["warc-record-id"], f.get("warc-target-uri"), f.get("warc-date")
+                page = page and int(page)
+                out.append(gzip_member(response(page, url, payload, rid, date, dig) if kind == "response" else
+                                       revisit(page, url, length, dig, rid, tuple(original), date)))
+                held += len(out[-1])
+                if held > 8_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["blob"])
+                    out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["blob"])
 
-    write_blobs(records.select(*names).mapInArrow(run, _BLOBS), path, "blob", records_per_file=RECORDS_PER_FILE)
+    write_blobs(decisions.mapInArrow(run, _BLOBS), path, "blob", records_per_file=RECORDS_PER_FILE)
 
 
 def deduplicate(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
