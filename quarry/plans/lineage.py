@@ -57,6 +57,16 @@ class Scope:
         names = [p.rsplit("/", 1)[-1] for p in self.paths]
         return bool(names) and any(n in f for f in df.inputFiles() for n in names)
 
+    def hand_over(self, df: DataFrame) -> DataFrame:
+        """Leave the folder of a staged table to the scope around this one."""
+        names = {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+        for path in [p for p in self.paths if p.rsplit("/", 1)[-1] in names]:
+            self.paths.remove(path)
+            outer = [own for own in _open_scopes if own is not self]
+            if outer:
+                outer[-1].paths.append(path)
+        return df
+
     def release(self) -> None:
         while self.paths:
             delete_folder(self.spark, self.paths.pop())
