@@ -13,6 +13,7 @@ from __future__ import annotations
 import gzip
 import io
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,17 @@ def plain_path(uri: str) -> str | None:
     return "/" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
 
 
+def mapped_bytes(uri: str) -> np.ndarray:
+    """A file's bytes: memory-mapped if its folder is mounted, else read through ``pyarrow.fs``."""
+    name = plain_path(uri)
+    if name is not None:
+        return np.memmap(name, np.uint8, "r")
+    from pyarrow import fs
+    store, name = fs.FileSystem.from_uri(uri)
+    with store.open_input_file(name) as f:
+        return np.frombuffer(f.read_buffer(), np.uint8)
+
+
 def open_members(uri: str) -> io.BufferedReader:
     """The uncompressed bytes of a file of gzip members, as a stream; other stores are read through ``pyarrow.fs``."""
     name = plain_path(uri)
