@@ -33,6 +33,7 @@ every byte costs log(256).  Words are keyed by 64-bit hash.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -42,14 +43,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import small_batches, staged, strings
-from quarry.llm.pretokens import remembered
+from quarry.llm.pretokens import newest
 
 START, END = 0xFE, 0xFF
 END_WORD = b"\n"  # no word holds a line end
 HOT = 1 << 16
 CHUNK = 1 << 20
 NEAR = 3  # grams of so many bytes are few in any corpus
-PORTION = 32 << 20
+PORTION = 24 << 20
 MIN_SHARDS = 48
 SHARD = 16 << 20  # bytes of text for which there is one shard
 
@@ -73,6 +74,31 @@ def grams(buffer: bytes, order: int) -> np.ndarray:
     return key[b[order:] != START]
 
 
+class GramCounts:
+    """Distinct grams of one portion with their counts, merged while the portion is read.
+
+    Sorted runs are merged whenever a newer one has grown to half of the one before it, so at most
+    about twice the distinct grams are held, twelve bytes each, and not the grams of every stretch.
+    """
+
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.runs.append((keys, n.astype(np.uint32)))
+        while len(self.runs) > 1 and 2 * len(self.runs[-1][0]) >= len(self.runs[-2][0]):
+            self._merge()
+
+    def _merge(self) -> None:
+        (a, n), (b, m) = self.runs.pop(), self.runs.pop()
+        self.runs.append(_summed(np.concatenate([a, b]), np.concatenate([n, m])))
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.runs) > 1:
+            self._merge()
+        return self.runs.pop() if self.runs else (np.empty(0, np.uint64), np.empty(0, np.uint32))
+
+
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
@@ -120,7 +146,7 @@ def portions_of(rows: DataFrame, order: int, shards: int, portion: int) -> DataF
         first = TaskContext.get().partitionId() << 32
         done = size = 0
         words: Counter = Counter()
-        parts: list = []
+        found = GramCounts()
         pad = bytes([START]) * order
         buffers: dict[bool, list[bytes]] = {False: [], True: []}
         sizes = {False: 0, True: 0}
@@ -136,7 +162,7 @@ def portions_of(rows: DataFrame, order: int, shards: int, portion: int) -> DataF
         def flush(held):
             if buffers[held]:
                 keys, n = np.unique(grams(b"".join(buffers[held]), order), return_counts=True)
-                parts.append((keys, n * (not held)))
+                found.add(keys, n * (not held))
                 buffers[held].clear()
                 sizes[held] = 0
 
@@ -149,18 +175,25 @@ def portions_of(rows: DataFrame, order: int, shards: int, portion: int) -> DataF
             nonlocal done, size
             flush(False)
             flush(True)
-            keys, n = _summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-            parts.clear()
-            seen = n > 0
-            low, low_n = _summed(keys[seen] & np.uint64((1 << (8 * near)) - 1), n[seen])
-            yield batch(NEAR_COUNT, len(low), key=low.view(np.int64), n=low_n)
-            shard = shard_of(keys, order, shards)
+            keys, n = found.take()
+            mask = np.uint64((1 << (8 * near)) - 1)
+            lows = GramCounts()
+            for i in range(0, len(keys), CHUNK):
+                seen = n[i:i + CHUNK] > 0
+                lows.add(*_summed(keys[i:i + CHUNK][seen] & mask, n[i:i + CHUNK][seen]))
+            low, low_n = lows.take()
+            yield batch(NEAR_COUNT, len(low), key=low.view(np.int64), n=low_n.astype(np.int64))
+            shard = np.concatenate([shard_of(keys[i:i + CHUNK], order, shards).astype(np.int32) for i in range(0, len(keys), CHUNK)])
             rank = np.argsort(shard, kind="stable")  # the grams of a shard stay sorted
-            have, at = np.unique(shard[rank], return_index=True)
-            pieces = [rank[i:j] for i, j in zip(at, [*at[1:], len(rank)])]
-            yield batch(GRAMS, len(have), portion=np.full(len(have), first + done), shard=have.astype(np.int32),
-                        grams=[packed_grams(keys[x], order + 1) for x in pieces],
-                        counts=[packed_grams(n[x], 4) for x in pieces])
+            ends = np.flatnonzero(np.diff(shard[rank], append=-1)) + 1
+            start = 0
+            while start < len(ends):  # some shards at a time, so that their packed form is never held whole
+                stop = start + max(1, int(np.searchsorted(ends[start:], (ends[start - 1] if start else 0) + CHUNK)))
+                pieces = [rank[i:j] for i, j in zip([ends[start - 1] if start else 0, *ends[start:stop - 1]], ends[start:stop])]
+                yield batch(GRAMS, len(pieces), portion=np.full(len(pieces), first + done), shard=shard[[x[0] for x in pieces]],
+                            grams=[packed_grams(keys[x], order + 1) for x in pieces],
+                            counts=[packed_grams(n[x], 4) for x in pieces])
+                start = stop
             done, size = done + 1, 0
 
         for b in batches:
@@ -241,10 +274,10 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Slots:
-    """Open addressing from grams to 32-bit values, half full at most."""
+    """Open addressing from grams to 32-bit values, three quarters full at most."""
 
     def __init__(self, keys: np.ndarray, value: np.ndarray):
-        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 2))))
+        bits = max(10, int(np.ceil(np.log2(max(1, len(keys)) * 4 / 3))))
         self.shift = np.uint64(64 - bits)
         self.slots = np.full(1 << bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.value = np.zeros(1 << bits, np.float32)
@@ -396,7 +429,7 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, id_col: str = "doc_
     shared = spark.sparkContext.broadcast((hot.column("key").to_numpy(), hot.column("c").to_numpy()))
     near = near_entries(read.where(F.col("kind") == NEAR_COUNT).select("key", "n"), order)
     answered = answers(read.where(F.col("kind") == GRAMS), near, order)
-    name = f"ppm-{id(shared)}-{spark.sparkContext.applicationId}"
+    call = uuid.uuid4().hex
 
     def hot_words():
         keys, c = shared.value
@@ -404,7 +437,7 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, id_col: str = "doc_
 
     def score(texts, answer):
         from collections import Counter as Count
-        hot_logs, seen = remembered(name, hot_words)
+        hot_logs, seen = newest("ppm-hot", call, hot_words)
         scores, n_tokens, known, base, cold_keys, cold_n = [], [], [], [], [], []
 
         def one(w):

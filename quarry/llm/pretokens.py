@@ -29,6 +29,15 @@ def remembered(key, make: Callable):
     return store[key]
 
 
+def newest(slot: str, key, make: Callable):
+    """Like :func:`remembered`, but a worker keeps one value a slot: that of the last key asked for."""
+    store = _shared().__dict__.setdefault("slots", {})
+    if store.get(slot, (None,))[0] != key:
+        store.pop(slot, None)
+        store[slot] = (key, make())
+    return store[slot][1]
+
+
 def _classes(props: tuple[str, ...]) -> list[str]:
     """Each Unicode property as a plain character class, from the ``regex`` library's tables."""
     import regex
