@@ -1,11 +1,17 @@
-"""Baskets, frequent itemsets and association rules (MLlib's parallel FP-growth)."""
+"""Baskets, frequent itemsets, association rules and their application to baskets."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.containment import contained
+from quarry.operators.itemsets import supports_two_passes, two_pass_itemsets
+from quarry.plans.lineage import scope, staged
+
 
 def baskets(df: DataFrame, key: str, item: str) -> DataFrame:
     """``(basket, items)``: sorted distinct items per key (FP-growth rejects duplicates)."""
@@ -14,34 +20,59 @@ def baskets(df: DataFrame, key: str, item: str) -> DataFrame:
             .agg(F.array_sort(F.collect_set(item)).alias("items")))
 
 
-def _model(basket_df: DataFrame, min_count: int | None, min_support: float | None, min_conf: float = 0.0):
+def frequent_itemsets(basket_df: DataFrame, min_count: int | None = None, min_support: float | None = None,
+                      max_size: int | None = None, method: str = "auto") -> DataFrame:
+    """``(items, size, support)``: every itemset (of at most ``max_size`` items) contained in at least the threshold of baskets.
+
+    ``method``: ``two_pass`` (:mod:`quarry.operators.itemsets`), ``fpgrowth`` (MLlib; mines all sizes),
+    or ``auto``, which takes FP-growth only for thresholds too low to be scaled to a stretch of baskets.
+    """
     if (min_count is None) == (min_support is None):
         raise ValueError("give exactly one of min_count, min_support")
-    n = basket_df.count()
-    if min_count is not None:
-        # half a basket below the integer threshold: freq >= min_count exactly
-        min_support = max(min_count - 0.5, 0.0) / max(n, 1)
-    fp = FPGrowth(itemsCol="items", minSupport=float(min_support), minConfidence=float(min_conf))
-    return fp.fit(basket_df.select("items")), n
-
-
-def frequent_itemsets(basket_df: DataFrame, min_count: int | None = None,
-                      min_support: float | None = None) -> DataFrame:
-    """``(items, size, support)``: every itemset contained in at least the threshold of baskets."""
-    model, _ = _model(basket_df, min_count, min_support)
-    return model.freqItemsets.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
-                                     F.col("freq").alias("support"))
+    if method not in ("auto", "two_pass", "fpgrowth"):
+        raise ValueError(f"unknown method {method!r}")
+    with scope(basket_df.sparkSession) as own:
+        rows = staged(basket_df.select("items"), "baskets")  # read again by each pass
+        n = rows.count()
+        least = max(1, min_count if min_count is not None else math.ceil(min_support * n))
+        if method == "two_pass" or method == "auto" and supports_two_passes(n, least):
+            return own.hand_over(two_pass_itemsets(rows, least, max_size))
+        # half a basket below the integer threshold: freq >= least exactly
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(n, 1)).fit(rows)
+        found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.size("items").alias("size"),
+                                          F.col("freq").alias("support"))
+        found = found if max_size is None else found.where(F.col("size") <= max_size)
+        return own.hand_over(staged(found, "itemsets"))
 
 
 def association_rules(basket_df: DataFrame, min_count: int | None = None, min_support: float | None = None,
-                      min_conf: float = 0.5) -> DataFrame:
+                      min_conf: float = 0.5, method: str = "auto") -> DataFrame:
     """``(antecedent, consequent, support, confidence)`` for rules I∖{i} → i of frequent I.
 
     ``support`` is the basket count of the whole itemset; confidence is
-    count(I) / count(I∖{i}).
+    count(I) / count(I∖{i}).  Every I∖{i} is frequent with I, so the counts of both sides meet in a join of the itemsets.
+    """
+    sets = frequent_itemsets(basket_df, min_count, min_support, method=method)
+    whole = (sets.where(F.col("size") >= 2).select("items", "support", F.explode("items").alias("consequent"))
+             .select(F.array_remove(F.col("items"), F.col("consequent")).alias("antecedent"), "consequent", "support"))
+    parts = sets.select(F.col("items").alias("antecedent"), F.col("support").alias("n"))
+    return (whole.join(parts, "antecedent").withColumn("confidence", F.col("support") / F.col("n"))
+            .where(F.col("confidence") >= min_conf).select("antecedent", "consequent", "support", "confidence"))
+
+
+def apply_rules(rules: DataFrame, basket_df: DataFrame) -> DataFrame:
+    """``(basket, item, confidence, n_rules)``: items that a basket lacks and that rules whose antecedent it holds lead to.
+
+    ``confidence`` is that of the best such rule.  Antecedents meet baskets in the containment join.
     """
-    model, n = _model(basket_df, min_count, min_support, min_conf)
-    r = model.associationRules
-    return r.select(F.array_sort("antecedent").alias("antecedent"), F.col("consequent")[0].alias("consequent"),
-                    F.round(F.col("support") * F.lit(n)).cast("bigint").alias("support"),
-                    F.col("confidence"))
+    with scope(basket_df.sparkSession) as own:
+        rows = staged(basket_df.select("basket", "items"), "rule-baskets")
+        known = staged(rules.select("antecedent", "consequent", "confidence"), "rules")
+        matched = contained(known.select(F.col("antecedent").alias("set_id"), F.col("antecedent").alias("items")).distinct(),
+                            rows.select(F.col("basket").alias("basket_id"), "items"))
+        offered = (matched.join(known, matched.set_id == known.antecedent)
+                   .select(F.col("basket_id").alias("basket"), F.col("consequent").alias("item"), "confidence"))
+        held = rows.select("basket", F.explode("items").alias("item"))
+        out = (offered.join(held, ["basket", "item"], "left_anti").groupBy("basket", "item")
+               .agg(F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("n_rules")))
+        return own.hand_over(staged(out, "rule-matches"))
