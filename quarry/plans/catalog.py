@@ -21,8 +21,8 @@ REC_K, REC_BANDS, REC_ROWS, REC_TOP = 50, 10, 5, 3
 DOC_BANDS, DOC_ROWS, DOC_THRESHOLD = 10, 4, 0.9
 GRAPH_ROUNDS = 3
 KMEANS_K, KMEANS_CONVERGE, KMEANS_SEED = 10, 1e-9, 1
-ALS_REG, ALS_RANK1_ITERS, ALS_RANK, ALS_ITERS, ALS_SEED, ALS_TOP = 0.01, 2, 5, 20, 42, 3
-BASKET_SUPPORT, RULE_CONFIDENCE = 0.02, 0.5
+ALS_REG, ALS_RANK, ALS_ITERS, ALS_SEED, ALS_TOP = 0.01, 5, 20, 42, 3
+BASKET_SUPPORT, RULE_CONFIDENCE, MATCH_CONFIDENCE = 0.02, 0.5, 0.4
 PAIR_SUPPORT = 0.01
 
 
@@ -171,7 +171,7 @@ def q_als_half_step(spark, d):
 
 
 def q_als_rank1(spark, d):
-    model, _ = _als(spark, d, 1, ALS_RANK1_ITERS, 1.0)
+    model, _ = _als(spark, d, 1, ALS_ITERS, 1.0)
     return model.factors().select("side", F.col("id").cast("string").alias("id"), r6(F.col("f0")).alias("f0"))
 
 
@@ -190,6 +190,14 @@ def q_als_predict(spark, d):
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
 
+def q_als_top_unrated(spark, d):
+    """The best parts for every customer among all that the customer has not ordered, by a model of the largest quantities."""
+    ratings = cut(inputs.customer_part_ratings(spark, d))
+    model = factor.als_fit(ratings, rank=ALS_RANK, iterations=ALS_ITERS, reg=ALS_REG, seed=ALS_SEED)
+    p = factor.als_predict(model, None, ratings, top_n=ALS_TOP)
+    return p.select("user", "item", r6(F.col("rating")).alias("rating"))
+
+
 def q_als_rank5(spark, d):
     model, _ = _als(spark, d)
     cols = factor.factor_cols(ALS_RANK)
@@ -276,9 +284,16 @@ def q_association_rules(spark, d):
                     r6(F.col("confidence")).alias("confidence"))
 
 
+def q_rule_matches(spark, d):
+    """Rules among the orders' part types, applied to the orders."""
+    b = cut(_type_baskets(spark, d))
+    r = patterns.association_rules(b, min_support=BASKET_SUPPORT, min_conf=MATCH_CONFIDENCE)
+    return patterns.apply_rules(r, b).select("basket", "item", r6(F.col("confidence")).alias("confidence"), "n_rules")
+
+
 def q_frequent_pairs(spark, d):
     b = patterns.baskets(inputs.order_brand_rows(spark, d), "order", "item")
-    f = patterns.frequent_itemsets(b, min_support=PAIR_SUPPORT).where(F.col("size") == 2)
+    f = patterns.frequent_itemsets(b, min_support=PAIR_SUPPORT, max_size=2).where(F.col("size") == 2)
     return f.select(F.col("items")[0].alias("item_a"), F.col("items")[1].alias("item_b"), "support")
 
 
@@ -302,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_rmse": q_als_rmse,
     "als_predict": q_als_predict,
     "als_rank5": q_als_rank5,
+    "als_top_unrated": q_als_top_unrated,
     "pagerank": q_pagerank,
     "hits": q_hits,
     "bfs_paths": q_bfs_paths,
@@ -316,4 +332,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequent_itemsets": q_frequent_itemsets,
     "association_rules": q_association_rules,
     "frequent_pairs": q_frequent_pairs,
+    "rule_matches": q_rule_matches,
 }

@@ -132,21 +132,13 @@ us AS (SELECT DISTINCT "user" AS id FROM r), it AS (SELECT DISTINCT item AS id F
 nu AS (SELECT count(*) AS n FROM us), ni AS (SELECT count(*) AS n FROM it),
 v0 AS (SELECT id, 1.0::DOUBLE AS f FROM it),
 u1 AS (SELECT us.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM v0) + {_REG} * (SELECT n FROM ni)) AS f
-       FROM us LEFT JOIN (SELECT "user", sum(rating * v.f) AS b FROM nz JOIN v0 v ON v.id = nz.item GROUP BY 1) b ON b."user" = us.id),
-v1 AS (SELECT it.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM u1) + {_REG} * (SELECT n FROM nu)) AS f
-       FROM it LEFT JOIN (SELECT item, sum(rating * u.f) AS b FROM nz JOIN u1 u ON u.id = nz."user" GROUP BY 1) b ON b.item = it.id),
-u2 AS (SELECT us.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM v1) + {_REG} * (SELECT n FROM ni)) AS f
-       FROM us LEFT JOIN (SELECT "user", sum(rating * v.f) AS b FROM nz JOIN v1 v ON v.id = nz.item GROUP BY 1) b ON b."user" = us.id),
-v2 AS (SELECT it.id, coalesce(b.b, 0) / ((SELECT sum(f * f) FROM u2) + {_REG} * (SELECT n FROM nu)) AS f
-       FROM it LEFT JOIN (SELECT item, sum(rating * u.f) AS b FROM nz JOIN u2 u ON u.id = nz."user" GROUP BY 1) b ON b.item = it.id)
+       FROM us LEFT JOIN (SELECT "user", sum(rating * v.f) AS b FROM nz JOIN v0 v ON v.id = nz.item GROUP BY 1) b ON b."user" = us.id)
 """
 ALS_HALF_STEP = f"""WITH {ALS},
 xtr AS (SELECT us.id, coalesce(b.b, 0) AS b FROM us LEFT JOIN
         (SELECT "user", sum(rating * v.f) AS b FROM nz JOIN v0 v ON v.id = nz.item GROUP BY 1) b ON b."user" = us.id)
 SELECT x.id AS "user", round(x.b, 6) AS xtr, round((SELECT sum(f * f) FROM v0), 6) AS gram, round(u.f, 6) AS f0
 FROM xtr x JOIN u1 u ON u.id = x.id"""
-ALS_RANK1 = f"""WITH {ALS} SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, round(f, 6) AS f0 FROM u2
-UNION ALL SELECT 'item', CAST(id AS VARCHAR), round(f, 6) FROM v2"""
 
 
 def _inverse(name: str, source: str, n_fixed: str, rank: int) -> list[str]:
@@ -163,10 +155,11 @@ def _inverse(name: str, source: str, n_fixed: str, rank: int) -> list[str]:
     return out
 
 
-def _als_sql(rank: int, iterations: int, seed: int) -> str:
-    """CTEs from ``r`` (user, item, rating) to the factor tables ``u<iterations>`` and ``v<iterations>``."""
+def _als_sql(rank: int, iterations: int, seed: int, start: float | None = None) -> str:
+    """CTEs from ``r`` (user, item, rating) to the factor tables ``u<iterations>`` and ``v<iterations>``; item factors
+    start at ``start`` or at a hash of id, seed and place."""
     span = range(rank)
-    init = [f"('0x' || substr(md5(id::VARCHAR || ':{seed}:{k}'), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS f{k}" for k in span]
+    init = [f"{start}::DOUBLE AS f{k}" for k in span] if start is not None else [f"('0x' || substr(md5(id::VARCHAR || ':{seed}:{k}'), 1, 8))::BIGINT::DOUBLE / 4294967296.0 AS f{k}" for k in span]
     parts = ["nz AS MATERIALIZED (SELECT * FROM r WHERE rating <> 0)",
              'us AS MATERIALIZED (SELECT DISTINCT "user" AS id FROM r)', "it AS MATERIALIZED (SELECT DISTINCT item AS id FROM r)",
              "nu AS (SELECT count(*) AS n FROM us)", "ni AS (SELECT count(*) AS n FROM it)",
@@ -194,6 +187,9 @@ _ROUNDED = ", ".join(f"round(f{k}, 6) AS f{k}" for k in _SPAN)
 ALS_RANK5 = f"""WITH {_BRAND_RATINGS}, {_ALS}
 SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, {_ROUNDED} FROM u{_N}
 UNION ALL SELECT 'item', CAST(id AS VARCHAR), {_ROUNDED} FROM v{_N}"""
+ALS_RANK1 = f"""WITH {_BRAND_RATINGS}, {_als_sql(1, C.ALS_ITERS, C.ALS_SEED, 1.0)}
+SELECT 'user' AS side, CAST(id AS VARCHAR) AS id, round(f0, 6) AS f0 FROM u{_N}
+UNION ALL SELECT 'item', CAST(id AS VARCHAR), round(f0, 6) FROM v{_N}"""
 ALS_RMSE = f"""WITH {_BRAND_RATINGS}, {_ALS}
 SELECT round(sqrt(avg((coalesce(r.rating, 0) - ({_DOT})) ** 2)), 6) AS rmse
 FROM u{_N} u CROSS JOIN v{_N} v LEFT JOIN r ON r."user" = u.id AND r.item = v.id"""
@@ -203,6 +199,13 @@ scored AS (SELECT c."user", c.item, {_DOT} AS rating FROM (SELECT DISTINCT "user
 SELECT "user", item, round(rating, 6) AS rating FROM scored
 QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY round(rating, 9) DESC, item) <= {C.ALS_TOP}"""
 
+ALS_TOP_UNRATED = f"""WITH r AS MATERIALIZED (SELECT o.o_custkey AS "user", l.l_partkey AS item, max(l.l_quantity) AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2), {_ALS},
+scored AS (SELECT u.id AS "user", v.id AS item, {_DOT} AS rating FROM u{_N} u CROSS JOIN v{_N} v
+           WHERE NOT EXISTS (SELECT 1 FROM nz WHERE nz."user" = u.id AND nz.item = v.id))
+SELECT "user", item, round(rating, 6) AS rating FROM scored
+QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY round(rating, 9) DESC, item) <= {C.ALS_TOP}"""
+
 # ---------------------------------------------------------------- graphs
 PART_EDGES = """
 li AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem),
@@ -337,6 +340,14 @@ rr AS (SELECT array_to_string(list_filter(s, lambda x: x <> consequent), '|') AS
 SELECT rr.antecedent, rr.consequent, rr.support, round(rr.support / a.support, 6) AS confidence
 FROM rr JOIN fi a ON a.items = rr.antecedent WHERE rr.support / a.support >= {C.RULE_CONFIDENCE}"""
 
+RULE_MATCHES = f"""WITH {BASKETS_CTE},
+rl AS (SELECT s, support, unnest(s) AS consequent FROM fi WHERE len(s) >= 2),
+rr AS (SELECT list_filter(s, lambda x: x <> consequent) AS antecedent, consequent, support FROM rl),
+rc AS (SELECT rr.antecedent, rr.consequent, rr.support / a.support AS confidence FROM rr JOIN fi a ON a.s = rr.antecedent
+       WHERE rr.support / a.support >= {C.MATCH_CONFIDENCE})
+SELECT bk.basket, rc.consequent AS item, round(max(rc.confidence), 6) AS confidence, count(*) AS n_rules
+FROM bk JOIN rc ON list_has_all(bk.items, rc.antecedent) AND NOT list_contains(bk.items, rc.consequent) GROUP BY 1, 2"""
+
 FREQUENT_PAIRS = f"""WITH ob AS (SELECT DISTINCT l.l_orderkey AS basket, p.p_brand AS item
                       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 n AS (SELECT count(DISTINCT basket) AS n FROM ob)
@@ -365,6 +376,7 @@ ORACLE: dict[str, str] = {
     "als_rmse": ALS_RMSE,
     "als_predict": ALS_PREDICT,
     "als_rank5": ALS_RANK5,
+    "als_top_unrated": ALS_TOP_UNRATED,
     "pagerank": _pagerank_sql(C.GRAPH_ROUNDS),
     "hits": _hits_sql(C.GRAPH_ROUNDS),
     "bfs_paths": BFS_PATHS,
@@ -379,4 +391,5 @@ ORACLE: dict[str, str] = {
     "frequent_itemsets": FREQUENT_ITEMSETS,
     "association_rules": ASSOCIATION_RULES,
     "frequent_pairs": FREQUENT_PAIRS,
+    "rule_matches": RULE_MATCHES,
 }
