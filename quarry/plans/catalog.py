@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import DEFAULT_FAMILY, RECOMMENDER_FAMILY
 from quarry.operators import cluster, factor, graph, match, minhash, patterns, recommend, text
 from quarry.plans import inputs
-from quarry.plans.lineage import cut
+from quarry.plans.lineage import cut, work_dir
+from quarry.sources import readers, writers
+from quarry.sources.lines import write_group_lines
 
 # Fixed parameters of the registered queries.
 REC_K, REC_BANDS, REC_ROWS, REC_TOP = 50, 10, 5, 3
@@ -52,6 +54,10 @@ def q_vocabulary(spark, d):
     return text.vocabulary(_doc_tokens(spark, d))
 
 
+def q_fingerprint_ranks(spark, d):
+    return text.ranked(text.fingerprint_clusters(inputs.document_lines(spark, d), "value"))
+
+
 # -- MinHash / LSH over customer -> parts ------------------------------------
 def _rec_sets(spark, d):
     """Customer part sets, written once: MinHash, set sizes and intersections all read them."""
@@ -297,6 +303,104 @@ def q_frequent_pairs(spark, d):
     return f.select(F.col("items")[0].alias("item_a"), F.col("items")[1].alias("item_b"), "support")
 
 
+# -- sinks and sources: what is written is read back ---------------------------
+def q_io_ratings(spark, d):
+    """Ratings as CSV with the header ``user,movie,rating``, read with their columns cast."""
+    path = work_dir(spark, "io-ratings")
+    writers.write_ratings(inputs.customer_part_ratings(spark, d), path)
+    return readers.read_ratings(spark, path, "user", "movie", "rating")
+
+
+def _repeated_ratings(spark, d):
+    """``(user, movie, rating)``: every order line as a rating, so that cells repeat."""
+    o = inputs.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    li = inputs.table(spark, d, "lineitem")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .select(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("movie"), F.col("l_quantity").alias("rating"),
+                    F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity").alias("at")))
+
+
+def q_io_last_ratings(spark, d):
+    """Of ratings that repeat in the files the last one counts."""
+    path = work_dir(spark, "io-repeated")
+    rows = _repeated_ratings(spark, d).repartitionByRange("at").sortWithinPartitions("at")
+    rows.select("user", "movie", "rating").write.option("header", True).csv(path)
+    r = readers.read_ratings(spark, path, "user", "movie", "rating", with_order=True)
+    return recommend.dedup_ratings(r, order_col="input_order")
+
+
+def q_io_rejects(spark, d):
+    """Ratings of which every seventh line (by order) is spoilt: rows by customer, and the rejected lines."""
+    path = work_dir(spark, "io-spoilt")
+    bad = F.col("at.l_orderkey") % 7 == 0
+    rows = _repeated_ratings(spark, d).select(F.when(bad, F.concat(F.lit("x"), F.col("user"))).otherwise(F.col("user").cast("string")).alias("user"),
+                                              "movie", "rating")
+    rows.write.option("header", True).csv(path)
+    got = readers.read_ratings_checked(spark, path, "user", "movie", "rating")
+    good = got.rows.groupBy(F.col("user").cast("string").alias("line"))
+    spoilt = got.rejects.groupBy(F.col("value").alias("line"))
+    count = F.count(F.lit(1)).alias("n")
+    return good.agg(F.lit(False).alias("rejected"), count).union(spoilt.agg(F.lit(True).alias("rejected"), count))
+
+
+def q_io_edges(spark, d):
+    """Edges as text lines, read by white space; repeated lines stay."""
+    path = work_dir(spark, "io-edges")
+    inputs.part_edges(spark, d).select(F.concat_ws(" ", F.col("src").cast("string"), F.col("dst").cast("string")).alias("value")).write.text(path)
+    return readers.read_edges(spark, path).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_io_vectors(spark, d):
+    """Vectors as lines of numbers, one space between them; lines are identified by their content."""
+    path = work_dir(spark, "io-vectors")
+    vecs = inputs.embedding_vectors(spark, d)
+    vecs.select(F.array_join(F.transform("vec", lambda x: x.cast("string")), " ").alias("value")).write.text(path)
+    got = readers.read_vectors_checked(spark, path).rows
+    return got.select(F.size("vec").alias("dims"), r6(F.get("vec", F.lit(0))).alias("first"), r6(F.get("vec", F.size("vec") - 1)).alias("last"),
+                      r6(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)).alias("total"))
+
+
+def q_io_records(spark, d):
+    """Records of two columns of a wider CSV, rows with an empty field dropped, equal rows once."""
+    path = work_dir(spark, "io-records")
+    inputs.table(spark, d, "part").write.option("header", True).csv(path)
+    return readers.read_records(spark, path, "p_brand", "p_type").select("name", "extra")
+
+
+def q_io_baskets(spark, d):
+    """Baskets from rows of a CSV, and their line each, as the line sink writes it and the line reader reads it."""
+    csv, lines = work_dir(spark, "io-baskets"), work_dir(spark, "io-basket-lines")
+    inputs.table(spark, d, "lineitem").select("l_orderkey", "l_partkey").write.option("header", True).csv(csv)
+    rows = readers.read_basket_rows(spark, csv, "l_orderkey", "l_partkey")
+    baskets = rows.select(F.col("basket").cast("bigint").alias("basket"), "item").distinct()
+    write_group_lines(baskets, lines, F.col("basket"), [F.col("item")], F.col("item"), F.concat(F.col("basket").cast("string"), F.lit(":")))
+    return readers.read_lines(spark, lines).select(F.col("value").alias("line"))
+
+
+def q_io_match_groups(spark, d):
+    """Match groups as CSV rows of unequal length: the trade lanes of every nation."""
+    path = work_dir(spark, "io-groups")
+    e = inputs.nation_edges(spark, d)
+    both = e.select(F.col("src").alias("group_name"), F.col("dst").alias("member")).union(e.select("dst", "src"))
+    writers.write_group_rows(both, path)
+    return readers.read_lines(spark, path).select(F.col("value").alias("line"))
+
+
+def q_io_clusters(spark, d):
+    """Clusters as ``key:val(n),val(n)`` lines."""
+    path = work_dir(spark, "io-clusters")
+    writers.write_clusters(text.fingerprint_clusters(inputs.document_lines(spark, d), "value"), path)
+    return readers.read_lines(spark, path).select(F.col("value").alias("line"))
+
+
+def q_io_score_lines(spark, d):
+    """Two lines of scores, of hubs and of authorities, read back field by field."""
+    path = work_dir(spark, "io-scores")
+    writers.write_score_lines(graph.hits(inputs.part_edges(spark, d), GRAPH_ROUNDS), path)
+    lines = readers.read_lines(spark, path).select(F.split("value", " ").alias("v"))
+    return lines.select(F.posexplode("v").alias("place", "score")).select("place", r6(F.col("score").cast("double")).alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fingerprint_clusters": q_fingerprint_clusters,
     "tokens": q_tokens,
@@ -333,4 +437,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "association_rules": q_association_rules,
     "frequent_pairs": q_frequent_pairs,
     "rule_matches": q_rule_matches,
+    "fingerprint_ranks": q_fingerprint_ranks,
+    "io_ratings": q_io_ratings,
+    "io_last_ratings": q_io_last_ratings,
+    "io_rejects": q_io_rejects,
+    "io_edges": q_io_edges,
+    "io_vectors": q_io_vectors,
+    "io_records": q_io_records,
+    "io_baskets": q_io_baskets,
+    "io_match_groups": q_io_match_groups,
+    "io_clusters": q_io_clusters,
+    "io_score_lines": q_io_score_lines,
 }

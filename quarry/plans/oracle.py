@@ -356,6 +356,32 @@ SELECT a.item AS item_a, b.item AS item_b, count(*) AS support FROM ob a JOIN ob
 GROUP BY 1, 2 HAVING count(*) >= ceil({C.PAIR_SUPPORT} * (SELECT n FROM n))"""
 
 
+# ---------------------------------------------------------------- sinks and sources
+FINGERPRINT_RANKS = f"""SELECT fingerprint, row_number() OVER (PARTITION BY fingerprint ORDER BY count DESC, value) AS rank,
+  value, count, n_values, n_total FROM ({FINGERPRINT})"""
+IO_RATINGS = """SELECT o.o_custkey AS "user", l.l_partkey AS item, max(l.l_quantity) AS rating
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2"""
+IO_LAST_RATINGS = """SELECT o.o_custkey AS "user", l.l_partkey AS item,
+  arg_max(l.l_quantity, (l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity)) AS rating
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2"""
+IO_REJECTS = """WITH r AS (SELECT o.o_custkey AS u, l.l_partkey AS i, l.l_quantity AS q, l_orderkey % 7 = 0 AS bad
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT CASE WHEN bad THEN 'x' || u || ',' || i || ',' || q ELSE u::VARCHAR END AS line, bad AS rejected, count(*) AS n FROM r GROUP BY 1, 2"""
+IO_EDGES = f"""WITH {PART_EDGES} SELECT src::VARCHAR AS src, dst::VARCHAR AS dst, count(*) AS n FROM pe GROUP BY 1, 2"""
+IO_VECTORS = """SELECT CAST(len(e) AS INTEGER) AS dims, round(e[1], 6) AS first, round(e[-1], 6) AS last, round(list_sum(e), 6) AS total
+FROM (SELECT CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
+IO_RECORDS = "SELECT DISTINCT p_brand AS name, p_type AS extra FROM part WHERE p_brand <> '' AND p_type <> ''"
+IO_BASKETS = """SELECT b || ':' || string_agg(i::VARCHAR, ',' ORDER BY i) AS line
+FROM (SELECT DISTINCT l_orderkey AS b, l_partkey AS i FROM lineitem) GROUP BY b"""
+IO_MATCH_GROUPS = f"""WITH RECURSIVE {_NATION.replace("{limit}", "")}
+SELECT string_agg(v::VARCHAR, ',' ORDER BY v) AS line FROM adj GROUP BY u"""
+IO_CLUSTERS = f"""SELECT fingerprint || ':' || string_agg(value || '(' || count || ')', ',' ORDER BY count DESC, value) AS line
+FROM ({FINGERPRINT}) GROUP BY fingerprint"""
+IO_SCORE_LINES = f"""WITH h AS ({_hits_sql(C.GRAPH_ROUNDS)}),
+p AS (SELECT *, CAST(row_number() OVER (ORDER BY node::VARCHAR) - 1 AS INTEGER) AS place FROM h)
+SELECT place, hub AS score FROM p UNION ALL SELECT place, authority FROM p"""
+
+
 ORACLE: dict[str, str] = {
     "fingerprint_clusters": FINGERPRINT,
     "tokens": TOKENS,
@@ -392,4 +418,15 @@ ORACLE: dict[str, str] = {
     "association_rules": ASSOCIATION_RULES,
     "frequent_pairs": FREQUENT_PAIRS,
     "rule_matches": RULE_MATCHES,
+    "fingerprint_ranks": FINGERPRINT_RANKS,
+    "io_ratings": IO_RATINGS,
+    "io_last_ratings": IO_LAST_RATINGS,
+    "io_rejects": IO_REJECTS,
+    "io_edges": IO_EDGES,
+    "io_vectors": IO_VECTORS,
+    "io_records": IO_RECORDS,
+    "io_baskets": IO_BASKETS,
+    "io_match_groups": IO_MATCH_GROUPS,
+    "io_clusters": IO_CLUSTERS,
+    "io_score_lines": IO_SCORE_LINES,
 }

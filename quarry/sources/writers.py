@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.text import cluster_lines
+from quarry.sources.lines import csv_cell, write_group_lines
 
 
 def write_ratings(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -15,8 +15,21 @@ def write_ratings(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_clusters(clusters: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Text lines ``key:val(n),val(n)`` (members by count descending)."""
-    cluster_lines(clusters).write.mode(mode).text(path)
+    """Text lines ``key:val(n),val(n)`` (members by count descending), a cluster of any size streamed into its line."""
+    write_group_lines(clusters, path, F.col("fingerprint"), [-F.col("count"), F.col("value")],
+                      F.format_string("%s(%d)", F.col("value"), F.col("count")), F.concat(F.col("fingerprint"), F.lit(":")), mode=mode)
+
+
+def write_group_rows(groups: DataFrame, path: str, group: str = "group_name", member: str = "member", mode: str = "overwrite") -> None:
+    """CSV rows of unequal length, one per match group: its members in order, streamed."""
+    write_group_lines(groups, path, F.col(group), [F.col(member)], csv_cell(F.col(member).cast("string")), mode=mode)
+
+
+def write_score_lines(scores: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Two lines, the hub scores of all nodes in string order and then their authority scores, one space between scores."""
+    sides = scores.select(F.col("node").cast("string").alias("node"), F.explode(F.array(
+        F.struct(F.lit(0).alias("line"), F.col("hub").alias("score")), F.struct(F.lit(1).alias("line"), F.col("authority").alias("score")))).alias("s"))
+    write_group_lines(sides, path, F.col("s.line"), [F.col("node")], F.col("s.score").cast("string"), sep=" ", mode=mode)
 
 
 def write_scores(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
