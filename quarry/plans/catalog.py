@@ -21,7 +21,7 @@ from quarry.sources.lines import write_group_lines
 # Fixed parameters of the registered queries.
 REC_K, REC_BANDS, REC_ROWS, REC_TOP = 50, 10, 5, 3
 DOC_BANDS, DOC_ROWS, DOC_THRESHOLD = 10, 4, 0.9
-GRAPH_ROUNDS = 3
+GRAPH_ROUNDS, SOURCE_BATCH = 3, 10
 KMEANS_K, KMEANS_CONVERGE, KMEANS_SEED = 10, 1e-9, 1
 ALS_REG, ALS_RANK, ALS_ITERS, ALS_SEED, ALS_TOP = 0.01, 5, 20, 42, 3
 BASKET_SUPPORT, RULE_CONFIDENCE, MATCH_CONFIDENCE = 0.02, 0.5, 0.4
@@ -236,17 +236,7 @@ def q_part_bfs_paths(spark, d):
 
 
 def q_part_edge_betweenness(spark, d):
-    b = graph.edge_betweenness(inputs.part_edges(spark, d), inputs.part_sources(spark, d))
-    return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
-
-
-def q_lane_bfs_paths(spark, d):
-    b = graph.bfs_paths(inputs.nation_edges(spark, d))
-    return b.select("source", "node", "dist", r6(F.col("sigma")).alias("sigma"))
-
-
-def q_lane_edge_betweenness(spark, d):
-    b = graph.edge_betweenness(inputs.nation_edges(spark, d))
+    b = graph.edge_betweenness(inputs.part_edges(spark, d), inputs.part_sources(spark, d), batch=SOURCE_BATCH)
     return b.select("u", "v", r6(F.col("betweenness")).alias("betweenness"))
 
 
@@ -428,8 +418,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_betweenness": q_edge_betweenness,
     "part_bfs_paths": q_part_bfs_paths,
     "part_edge_betweenness": q_part_edge_betweenness,
-    "lane_bfs_paths": q_lane_bfs_paths,
-    "lane_edge_betweenness": q_lane_edge_betweenness,
+    # older names
+    "lane_bfs_paths": q_bfs_paths,
+    "lane_edge_betweenness": q_edge_betweenness,
     "kmeans_fit": q_kmeans_fit,
     "kmeans_assign": q_kmeans_assign,
     "baskets": q_baskets,

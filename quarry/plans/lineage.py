@@ -36,6 +36,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds the complete output of a job."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 class Scope:
     """Owner of staged folders."""
 

@@ -241,11 +241,11 @@ def _hits_sql(rounds: int) -> str:
             f"FROM nodes n LEFT JOIN h{rounds} h USING (node) LEFT JOIN a{rounds} a USING (node)")
 
 
-_NATION = """
-lanes AS (SELECT least(s.s_nationkey, c.c_nationkey) AS src, greatest(s.s_nationkey, c.c_nationkey) AS dst, count(*) AS n
+NATION = """
+lanes AS (SELECT DISTINCT least(s.s_nationkey, c.c_nationkey) AS src, greatest(s.s_nationkey, c.c_nationkey) AS dst
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
-          JOIN customer c ON o.o_custkey = c.c_custkey WHERE s.s_nationkey <> c.c_nationkey GROUP BY 1, 2),
-und AS (SELECT src AS u, dst AS v FROM lanes ORDER BY n DESC, src, dst {limit}),
+          JOIN customer c ON o.o_custkey = c.c_custkey WHERE s.s_nationkey <> c.c_nationkey),
+und AS (SELECT src AS u, dst AS v FROM lanes),
 adj AS (SELECT u, v FROM und UNION ALL SELECT v, u FROM und),
 gnodes AS (SELECT DISTINCT u AS node FROM adj),
 walk(source, node, dist) AS (SELECT node, node, 0 FROM gnodes
@@ -257,10 +257,7 @@ paths(source, node, dist) AS (SELECT node, node, 0 FROM gnodes
       JOIN sp ON sp.source = p.source AND sp.node = a.v AND sp.dist = p.dist + 1),
 bfs AS (SELECT source, node, CAST(dist AS INTEGER) AS dist, count(*)::DOUBLE AS sigma FROM paths GROUP BY 1, 2, 3)
 """
-NATION = _NATION.replace("{limit}", "")
-ALL_LANES = _NATION.replace("{limit}", "")
 BFS_PATHS = f"WITH RECURSIVE {NATION} SELECT source, node, dist, round(sigma, 6) AS sigma FROM bfs"
-LANE_BFS_PATHS = f"WITH RECURSIVE {ALL_LANES} SELECT source, node, dist, round(sigma, 6) AS sigma FROM bfs"
 _BETWEENNESS_TAIL = """,
 orient AS (SELECT u AS a, v AS b, u, v FROM und UNION ALL SELECT v, u, u, v FROM und),
 contrib AS (SELECT o.u, o.v, sa.sigma * bt.sigma / st.sigma AS x FROM orient o
@@ -269,15 +266,7 @@ contrib AS (SELECT o.u, o.v, sa.sigma * bt.sigma / st.sigma AS x FROM orient o
             WHERE sa.dist + 1 + bt.dist = st.dist)
 SELECT und.u, und.v, round(coalesce(0.5 * s.b, 0), 6) AS betweenness FROM und
 LEFT JOIN (SELECT u, v, sum(x) AS b FROM contrib GROUP BY 1, 2) s USING (u, v)"""
-LANE_EDGE_BETWEENNESS = "WITH RECURSIVE " + ALL_LANES + _BETWEENNESS_TAIL
-EDGE_BETWEENNESS = f"""WITH RECURSIVE {NATION},
-orient AS (SELECT u AS a, v AS b, u, v FROM und UNION ALL SELECT v, u, u, v FROM und),
-contrib AS (SELECT o.u, o.v, sa.sigma * bt.sigma / st.sigma AS x FROM orient o
-            JOIN bfs sa ON sa.node = o.a JOIN bfs st ON st.source = sa.source
-            JOIN bfs bt ON bt.source = o.b AND bt.node = st.node
-            WHERE sa.dist + 1 + bt.dist = st.dist)
-SELECT und.u, und.v, round(coalesce(0.5 * s.b, 0), 6) AS betweenness FROM und
-LEFT JOIN (SELECT u, v, sum(x) AS b FROM contrib GROUP BY 1, 2) s USING (u, v)"""
+EDGE_BETWEENNESS = "WITH RECURSIVE " + NATION + _BETWEENNESS_TAIL
 
 PART_PATHS = f"""{PART_EDGES},
 und AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS u, greatest(src, dst) AS v FROM pe),
@@ -373,7 +362,7 @@ FROM (SELECT CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
 IO_RECORDS = "SELECT DISTINCT p_brand AS name, p_type AS extra FROM part WHERE p_brand <> '' AND p_type <> ''"
 IO_BASKETS = """SELECT b || ':' || string_agg(i::VARCHAR, ',' ORDER BY i) AS line
 FROM (SELECT DISTINCT l_orderkey AS b, l_partkey AS i FROM lineitem) GROUP BY b"""
-IO_MATCH_GROUPS = f"""WITH RECURSIVE {_NATION.replace("{limit}", "")}
+IO_MATCH_GROUPS = f"""WITH RECURSIVE {NATION}
 SELECT string_agg(v::VARCHAR, ',' ORDER BY v) AS line FROM adj GROUP BY u"""
 IO_CLUSTERS = f"""SELECT fingerprint || ':' || string_agg(value || '(' || count || ')', ',' ORDER BY count DESC, value) AS line
 FROM ({FINGERPRINT}) GROUP BY fingerprint"""
@@ -409,8 +398,8 @@ ORACLE: dict[str, str] = {
     "edge_betweenness": EDGE_BETWEENNESS,
     "part_bfs_paths": PART_BFS_PATHS,
     "part_edge_betweenness": PART_EDGE_BETWEENNESS,
-    "lane_bfs_paths": LANE_BFS_PATHS,
-    "lane_edge_betweenness": LANE_EDGE_BETWEENNESS,
+    "lane_bfs_paths": BFS_PATHS,
+    "lane_edge_betweenness": EDGE_BETWEENNESS,
     "kmeans_fit": KMEANS_FIT,
     "kmeans_assign": KMEANS_ASSIGN,
     "baskets": BASKETS,
