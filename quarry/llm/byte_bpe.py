@@ -13,7 +13,8 @@ higher-order functions over a column of distinct words, :func:`encode_words`.
 The README has the figures for both.
 
 Defined results: a null text counts as empty and has no ids; equal texts have
-equal ids; an empty table gives an empty result.  Work is row-local (no
+equal ids; a word of n bytes takes about n log n steps, however long; an empty
+table gives an empty result.  Work is row-local (no
 shuffle), memory is bounded by one Arrow batch and the memo.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 import struct
 from collections.abc import Callable
@@ -45,10 +47,47 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+#: Words of more bytes keep their pairs in a heap.
+LONG_WORD = 100
+
+
+def fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """:func:`fold` in n log n steps: pairs in a heap by rank and place, pieces as a linked list."""
+    n = len(word)
+    end = list(range(1, n + 1))            # where the piece that begins here ends; a piece is known by its first byte
+    before = list(range(-1, n - 1))        # where the piece before it begins
+    alive = [True] * n
+    get = ranks.get
+
+    def pair(i: int) -> tuple[int, int, int] | None:
+        """``(rank, first byte, end)`` of the piece at ``i`` joined with the next."""
+        j = end[i]
+        if j >= n or (rank := get(word[i:end[j]])) is None:
+            return None
+        return rank, i, end[j]
+    heap = [x for i in range(n) if (x := pair(i)) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, stop = heapq.heappop(heap)
+        j = end[i] if alive[i] else n
+        if j >= n or end[j] != stop:  # one of the two has been merged meanwhile
+            continue
+        alive[j] = False
+        end[i] = stop
+        if stop < n:
+            before[stop] = i
+        for k in (before[i], i):
+            if k >= 0 and (x := pair(k)) is not None:
+                heapq.heappush(heap, x)
+    return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
+
+
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ranked merges over the bytes of one word."""
     if word in ranks:
         return [ranks[word]]
+    if len(word) > LONG_WORD:
+        return fold_long(word, ranks)
     parts = [word[i:i + 1] for i in range(len(word))]
     get = ranks.get
     none = len(ranks) + 1

@@ -104,8 +104,9 @@ def mix(docs: DataFrame, weights: list[float], budget: float = 1.5, max_repeats:
                       lambda at: (F.col("size") > 0) & (2 * at + F.col("size") <= 2 * F.col("target")))
     times = F.transform(passes, lambda at: position(at, F.col("target"), F.col("slope")))
     out = (placed.withColumn("positions", times)
-           .select("row", "size", "source_size", "target", (F.size("positions") * F.col("size")).alias("taken"), "positions"))
-    return out.orderBy(F.asc_nulls_last(F.get("positions", F.lit(0)))) if ordered else out
+           .select("row", "size", "source_size", "target", (F.size("positions") * F.col("size")).alias("taken"), "positions", "hash"))
+    # documents that are not taken have no position; the hash keeps them from lying in one range
+    return (out.orderBy(F.asc_nulls_last(F.get("positions", F.lit(0))), "hash", "size") if ordered else out).drop("hash")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

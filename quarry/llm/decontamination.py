@@ -113,8 +113,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
     n_hit = spans(hits).groupBy("key").agg(F.sum(F.col("last") - F.col("first")).cast("long").alias("n_hit"))
     listed = (hits.select("key", "window").distinct().join(windows.select("window", "item"), "window").select("key", "item").distinct()
               .groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items")))
-    found = n_hit.join(listed, "key").select("key", "n_hit", F.size("items").cast("long").alias("n_items"),
-                                             F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    # a staged table, so that AQE can split the rows of a text with very many copies
+    found = staged(n_hit.join(listed, "key").select("key", "n_hit", F.size("items").cast("long").alias("n_items"),
+                                                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256")), "decontamination-found")
     columns = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), text_key(F.col(f"`{text_col}`")).alias("key"),
                        F.size(words(F.col(f"`{text_col}`"))).cast("long").alias("n_words"))

@@ -133,7 +133,7 @@ def votes() -> F.Column:
     return total.cast("int")
 
 
-def fit(patterns: list[tuple[int, int]], rounds: int = 500, tol: float = 1e-9, prior: float = 0.05):
+def fit(patterns: list[tuple[int, int]], rounds: int = 5_000, tol: float = 1e-9, prior: float = 0.05):
     """EM over counted vote patterns.
 
     Returns ``(share_good, right, posterior by pattern)``; ``right[c][j]`` is the
@@ -141,7 +141,7 @@ def fit(patterns: list[tuple[int, int]], rounds: int = 500, tol: float = 1e-9, p
     Starts from rules that are nearly always right on good documents and half
     the time on bad ones (a bad document shows few faults at a time), and
     keeps pseudo-votes of that kind worth the share ``prior`` of all documents,
-    so that the two classes can't change places.
+    so that the two classes can't change places.  Raises if posteriors still move after ``rounds`` rounds.
     """
     m = len(RULES)
     codes = np.array([p for p, _ in patterns], np.int64)
@@ -168,6 +168,8 @@ def fit(patterns: list[tuple[int, int]], rounds: int = 500, tol: float = 1e-9, p
         if last is not None and np.abs(post - last).max() < tol:
             break
         last = post
+    else:
+        raise RuntimeError(f"the rules' accuracies have not settled within {rounds} rounds")
     return share, right, dict(zip(codes.tolist(), post.tolist()))
 
 

@@ -73,7 +73,7 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                     work_dir(spark, "token-files"), public_tokenizers.path(TOKENIZER),
-                                    public_tokenizers.PATTERN, END_ID)
+                                    public_tokenizers.PATTERN, END_ID, added_tokens=True)
 
 
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

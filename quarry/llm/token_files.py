@@ -42,22 +42,32 @@ RECORD = "shard int, place long, doc_id {id_type}, n_tokens long"
 
 
 class LibraryTokenizer:
-    """A byte-level BPE file of the ``tokenizers`` library; distinct words are encoded once."""
+    """A byte-level BPE file of the ``tokenizers`` library; distinct words are encoded once.
 
-    def __init__(self, path: str, pattern: str):
+    ``added_tokens``: the strings of added tokens (an end of text, say) stand for these tokens, as in the library by
+    itself, and texts that hold one are encoded by it whole.  Else they are ordinary text.
+    """
+
+    def __init__(self, path: str, pattern: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
+        self.library = Tokenizer.from_file(path) if self.added else None
+        self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = "<u4" if self.wide else "<u2"
         encode = self.tokenizer.encode_batch_fast
-        self.encode = WordEncoder(
-            pattern, lambda w: np.array(encode([w], add_special_tokens=False)[0].ids, self.kind).tobytes()).encode
+        self.words = WordEncoder(pattern, lambda w: np.array(encode([w], add_special_tokens=False)[0].ids, self.kind).tobytes())
+
+    def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return self.words.encode(text)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int,
-                 id_col: str = "doc_id", text_col: str = "text") -> None:
+                 id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> None:
     """Tokenise ``docs`` and write the ids and the document records of every shard."""
     if not 0 <= end_id < 256:
         raise ValueError("end_id must be below 256")
@@ -70,7 +80,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, pattern: str,
 
     def run(batches):
         from pyspark import TaskContext
-        tok = remembered(("tokenizers", tokenizer_path, pattern), lambda: LibraryTokenizer(tokenizer_path, pattern))
+        tok = remembered(("tokenizers", tokenizer_path, pattern, added_tokens),
+                         lambda: LibraryTokenizer(tokenizer_path, pattern, added_tokens))
         size = 4 if tok.wide else 2
         end = end_id.to_bytes(size, "little")
         shard, place = TaskContext.get().partitionId(), 0
@@ -174,11 +185,11 @@ def read_spans(spark: SparkSession, path: str, id_type: str, wide: bool = False)
 
 
 def write_corpus(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write all files of the corpus, then read them back (see :func:`read_spans`)."""
+                 id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
+    """Write all files of the corpus, then read them back (see :func:`read_spans`); ``added_tokens`` as of :class:`LibraryTokenizer`."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    write_tokens(docs, path, tokenizer_path, pattern, end_id, id_col, text_col)
+    write_tokens(docs, path, tokenizer_path, pattern, end_id, id_col, text_col, added_tokens)
     if not spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option(
             "recursiveFileLookup", "true").load(f"{path}/tokens").select("path").take(1):
         return spark.createDataFrame([], f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
