@@ -37,16 +37,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import map_columns, packed, staged, strings
+from quarry.llm.common import map_columns, packed, scope, staged, strings, unstaged
 
 SHINGLE = 5
 HASHES = 64
 BRANCHES = 2.0
 MAX_DEPTH = 5
+MARK_BITS = 26  # of a bit map that goes to every worker: 8 MB
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -324,16 +326,54 @@ def with_node(docs: DataFrame, text_col: str) -> DataFrame:
     return map_columns(packed(docs, text_col), [f"in_{text_col}"], [T.StructField("node", T.BinaryType())], make)
 
 
-def node_sets(docs: DataFrame, needed: DataFrame, text_col: str) -> DataFrame:
-    """``(node, shingles)``: sorted distinct shingles of the needed nodes; copies meet once."""
-    texts = (with_node(docs.select(text_col), text_col).groupBy("node").agg(F.first(f"row.{text_col}").alias("text"))
+class Marks:
+    """A Bloom filter with one hash: a bit map over the first bits of 16-byte keys, of at most ``2 ** MARK_BITS`` bits.
+
+    It says "no" only for keys that are not in the set; what it lets through meets an exact join.
+    """
+
+    def __init__(self, bits: int, words: np.ndarray, values: np.ndarray):
+        self.bits = bits
+        self.map = np.zeros((1 << bits) // 64, np.uint64)
+        self.map[words] = values
+
+    def holds(self, keys: list[bytes]) -> np.ndarray:
+        at = np.frombuffer(b"".join(k[:4] for k in keys), ">u4").astype(np.int64) >> (32 - self.bits)
+        return (self.map[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def marks_of(keys: DataFrame, column: str) -> Marks:
+    """The bit map of a binary column; about sixteen bits a key while they last, and a row per 64 of them for the driver."""
+    n = keys.count()
+    bits = min(MARK_BITS, max(10, int(16 * max(1, n)).bit_length()))
+    at = F.shiftright(F.conv(F.hex(F.substring(column, 1, 4)), 16, 10).cast("long"), 32 - bits)
+    rows = (keys.select(F.shiftright(at, 6).alias("word"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
+            .select("word", F.expr("shiftleft(one, bit)").alias("value")).groupBy("word").agg(F.bit_or("value").alias("value")).toArrow())
+    return Marks(bits, rows.column("word").to_numpy(), rows.column("value").to_numpy().view(np.uint64))
+
+
+def marked(table: DataFrame, key: str, marks: DataFrame, column: str) -> tuple[DataFrame, Broadcast]:
+    """``table`` with ``marked``: whether the binary ``key`` may be among ``marks.column``; and the broadcast bit map."""
+    shared = table.sparkSession.sparkContext.broadcast(marks_of(marks, column))
+
+    def make():
+        return lambda col: [pa.array(shared.value.holds(col.to_pylist()))]
+    out = map_columns(table.withColumn("in_key", F.col(key)), ["in_key"], [T.StructField("marked", T.BooleanType())], make)
+    return out, shared
+
+
+def node_sets(docs: DataFrame, needed: DataFrame, text_col: str) -> tuple[DataFrame, Broadcast]:
+    """``(node, shingles)``: sorted distinct shingles of the needed nodes; copies meet once, and only texts that
+    may be needed are shuffled."""
+    likely, shared = marked(with_node(docs.select(text_col), text_col), "node", needed, "node")
+    texts = (likely.where("marked").groupBy("node").agg(F.first(f"row.{text_col}").alias("text"))
              .join(needed, "node", "left_semi"))
 
     def make():
         shingler = Shingler()
         return lambda col: [pa.array([np.unique(shingler.shingles(t.encode("utf-8", "surrogatepass").split())).tobytes()
                                       for t in strings(col)], pa.binary())]
-    return map_columns(texts, ["text"], [T.StructField("shingles", T.BinaryType())], make)
+    return map_columns(texts, ["text"], [T.StructField("shingles", T.BinaryType())], make), shared
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -362,27 +402,30 @@ def similar_nodes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999
                   text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(id, node)`` of every row, and per node ``(node, first_id, copies, label, links)``; ``label`` is the
     lowest node of its group of near-duplicates, ``links`` counts the linked documents of other nodes."""
-    rows = staged(sketches(docs, id_col, text_col), "join-rows")
-    nodes = staged(rows.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-                                            F.first("sig").alias("sig")), "join-nodes")
-    leaves = leaf_members(nodes, runs_for(threshold, recall), limit)
-    paths = leaves.groupBy("node").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
-
-    # a byte of every token is enough to compare sketches, and half of a path's key to tell paths apart
-    low = F.expr("concat(" + ", ".join(f"substring(sig, {4 * i + 1}, 1)" for i in range(HASHES)) + ")")
-    carried = staged(paths.join(nodes.select("node", low.alias("low")), "node").select(
-        "node", "leaves", F.transform("leaves", lambda p: F.shiftright(p, 32).cast("int")).alias("paths"), "low"), "join-carried")
-    members = carried.select(F.explode("leaves").alias("leaf"), "node", "paths", "low")
-    close = staged(close_members(members, threshold), "join-close")
-    sets = node_sets(docs, close.select("node").distinct(), text_col)
-    full = close.join(sets, "node").join(nodes.select("node", "copies"), "node")
-    found = staged(exact_links(full.select("leaf", "node", "paths", "copies", "shingles"), threshold), "join-found")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    labels = components(found.where("node <> root").select("node", "root"))
-    info = (nodes.drop("sig").join(labels, "node", "left").join(links, "node", "left")
-            .select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"),
-                    F.coalesce("links", F.lit(0)).alias("links")))
-    return rows.select("id", "node"), staged(info, "join-info")
+    with scope(docs.sparkSession) as own:  # only the rows and the nodes' groups outlive it
+        rows = own.hand_over(staged(sketches(docs, id_col, text_col), "join-rows"))
+        nodes = staged(rows.groupBy("node").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
+                                                F.first("sig").alias("sig")), "join-nodes")
+        # a byte of every token is enough to compare sketches, and half of a path's key to tell paths apart
+        low = F.expr("concat(" + ", ".join(f"substring(sig, {4 * i + 1}, 1)" for i in range(HASHES)) + ")")
+        with scope(docs.sparkSession) as levels:
+            leaves = leaf_members(nodes, runs_for(threshold, recall), limit)
+            paths = leaves.groupBy("node").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+            carried = levels.hand_over(staged(paths.join(nodes.select("node", low.alias("low")), "node").select(
+                "node", "leaves", F.transform("leaves", lambda p: F.shiftright(p, 32).cast("int")).alias("paths"), "low"), "join-carried"))
+        members = carried.select(F.explode("leaves").alias("leaf"), "node", "paths", "low")
+        close = staged(close_members(members, threshold), "join-close")
+        unstaged(carried)
+        sets, shared = node_sets(docs, close.select("node").distinct(), text_col)
+        full = close.join(sets, "node").join(nodes.select("node", "copies"), "node")
+        found = staged(exact_links(full.select("leaf", "node", "paths", "copies", "shingles"), threshold), "join-found")
+        shared.destroy()
+        links = found.groupBy("node").agg(F.sum("links").alias("links"))
+        labels = components(found.where("node <> root").select("node", "root"))
+        info = (nodes.drop("sig").join(labels, "node", "left").join(links, "node", "left")
+                .select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"),
+                        F.coalesce("links", F.lit(0)).alias("links")))
+        return rows.select("id", "node"), own.hand_over(staged(info, "join-info"))
 
 
 def join_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999, id_col: str = "doc_id",
@@ -401,12 +444,18 @@ def join_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each group stays: that with the lowest id (then the lowest hash of its words, then the lowest row)."""
-    _, info = similar_nodes(docs, id_col=id_col, text_col=text_col, **options)
+    """One row of each group stays: that with the lowest id (then the lowest hash of its words, then the lowest row).
+
+    Most rows are the only one of their node and that node's group, or clearly its first.  Such rows stay where they lie;
+    the nodes of all others are marked in a bit map, and only rows of nodes that may be marked are shuffled and compared.
+    """
+    rows, info = similar_nodes(docs, id_col=id_col, text_col=text_col, **options)
     best = (info.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull().alias("unset"), "first_id", "node")).alias("b"))
             .select("label", F.col("b.node").alias("node"), F.col("b.first_id").alias("first_id")))
     winners = staged(best, "join-winners")
-    rows = with_node(docs, text_col)
-    kept = (rows.join(winners, "node").where(F.col(f"row.`{id_col}`").eqNullSafe(F.col("first_id")))
-            .groupBy("label").agg(F.min("row").alias("row")))
-    return kept.select("row.*")
+    doubtful = info.join(winners.select("node", F.lit(True).alias("wins")), "node", "left").where(F.col("wins").isNull() | (F.col("copies") > 1))
+    located, _ = marked(with_node(docs, text_col), "node", staged(doubtful.select("node"), "join-doubtful"), "node")
+    alone = located.where(~F.col("marked")).select("row")
+    kept = (located.where("marked").select("row", "node").join(winners, "node").where(F.col(f"row.`{id_col}`").eqNullSafe(F.col("first_id")))
+            .groupBy("label").agg(F.min("row").alias("row")).select("row"))
+    return alone.union(kept).select("row.*")
