@@ -126,17 +126,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class LoopState:
-    """Keeps the live loop tables persisted and checkpoints every ``every`` rounds."""
+    """Keeps the live loop tables persisted and stages every ``every``-th (one job; a checkpoint computes its table twice)."""
 
     def __init__(self, every: int = 4):
         self.every = max(1, int(every))
         self._round = 0
+        self._own: Scope | None = None
         self._held: list[DataFrame] = []
 
     def step(self, df: DataFrame) -> DataFrame:
         self._round += 1
         if self._round % self.every == 0:
-            out = cut(df)
+            with self._scope(df).owning():
+                out = staged(df, "loop")
         else:
             out = df.persist()
         self._held.append(out)
@@ -145,8 +147,16 @@ class LoopState:
             self._held.pop(0).unpersist()
         return out
 
+    def _scope(self, df: DataFrame) -> "Scope":
+        if self._own is None:
+            self._own = Scope(df.sparkSession)
+        return self._own
+
     def release(self) -> None:
+        """Drop what is held; whatever reads it has to have run."""
         for df in self._held:
             df.unpersist()
         self._held.clear()
+        if self._own is not None:
+            self._own.release()
 
