@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import sql
 from quarry.functions.hashing import DEFAULT_FAMILY, RECOMMENDER_FAMILY
 from quarry.operators import cluster, factor, graph, match, minhash, patterns, recommend, text
 from quarry.plans import inputs
@@ -58,6 +59,20 @@ def q_fingerprint_ranks(spark, d):
     return text.ranked(text.fingerprint_clusters(inputs.document_lines(spark, d), "value"))
 
 
+#: A query as text over the SQL functions of the session.
+SQL_CLUSTERS = """
+WITH counts AS (SELECT value, count(*) AS n FROM document_lines WHERE value IS NOT NULL GROUP BY value),
+     keyed AS (SELECT fingerprint_key(value) AS fingerprint, n FROM counts)
+SELECT fingerprint, count(*) AS n_values, sum(n) AS n_total, size(normal_tokens(fingerprint)) AS n_tokens
+FROM keyed GROUP BY fingerprint HAVING count(*) >= 2"""
+
+
+def q_sql_clusters(spark, d):
+    sql.register(spark)
+    inputs.document_lines(spark, d).createOrReplaceTempView("document_lines")
+    return spark.sql(SQL_CLUSTERS)
+
+
 # -- MinHash / LSH over customer -> parts ------------------------------------
 def _rec_sets(spark, d):
     """Customer part sets, written once: MinHash, set sizes and intersections all read them."""
@@ -429,6 +444,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frequent_pairs": q_frequent_pairs,
     "rule_matches": q_rule_matches,
     "fingerprint_ranks": q_fingerprint_ranks,
+    "sql_clusters": q_sql_clusters,
     "io_ratings": q_io_ratings,
     "io_last_ratings": q_io_last_ratings,
     "io_rejects": q_io_rejects,

@@ -348,6 +348,8 @@ GROUP BY 1, 2 HAVING count(*) >= ceil({C.PAIR_SUPPORT} * (SELECT n FROM n))"""
 # ---------------------------------------------------------------- sinks and sources
 FINGERPRINT_RANKS = f"""SELECT fingerprint, row_number() OVER (PARTITION BY fingerprint ORDER BY count DESC, value) AS rank,
   value, count, n_values, n_total FROM ({FINGERPRINT})"""
+SQL_CLUSTERS = f"""SELECT DISTINCT fingerprint, n_values, n_total,
+  CAST(len(list_filter(string_split(fingerprint, ' '), lambda t: t <> '')) AS INTEGER) AS n_tokens FROM ({FINGERPRINT})"""
 IO_RATINGS = """SELECT o.o_custkey AS "user", l.l_partkey AS item, max(l.l_quantity) AS rating
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2"""
 IO_LAST_RATINGS = """SELECT o.o_custkey AS "user", l.l_partkey AS item,
@@ -408,6 +410,7 @@ ORACLE: dict[str, str] = {
     "frequent_pairs": FREQUENT_PAIRS,
     "rule_matches": RULE_MATCHES,
     "fingerprint_ranks": FINGERPRINT_RANKS,
+    "sql_clusters": SQL_CLUSTERS,
     "io_ratings": IO_RATINGS,
     "io_last_ratings": IO_LAST_RATINGS,
     "io_rejects": IO_REJECTS,
