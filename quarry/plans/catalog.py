@@ -101,10 +101,14 @@ def q_lsh_buckets(spark, d):
 
 
 # -- candidates, similarity and neighbours over documents -> words -------------
+def _distinct_sets(sets):
+    """The word sets without those that equal an earlier one."""
+    return cut(sets.join(match.copy_groups(sets).select("id"), "id", "left_anti"))
+
+
 def _word_sets(spark, d):
     """Distinct word sets of documents, one per group of exact copies."""
-    sets = match.record_sets(inputs.documents(spark, d), "doc_id", ["text"])
-    return cut(sets.join(match.copy_groups(sets).select("id"), "id", "left_anti"))
+    return _distinct_sets(match.record_sets(inputs.documents(spark, d), "doc_id", ["text"]))
 
 
 def _word_candidates(sets):
@@ -122,24 +126,27 @@ def q_pair_similarity(spark, d):
     return s.select("id_a", "id_b", "inter", "size_a", "size_b", r6(F.col("similarity")).alias("similarity"))
 
 
-def _topk(spark, d):
-    sets = _word_sets(spark, d)
+def _topk(sets):
     sims = minhash.mirrored(cut(minhash.pair_similarity(_word_candidates(sets), sets, sets_distinct=True)))
     return recommend.similar_topk(sims, REC_TOP)
 
 
 def q_similar_topk(spark, d):
-    return _topk(spark, d).select("user", "neighbour", r6(F.col("similarity")).alias("similarity"), "rank")
+    return _topk(_word_sets(spark, d)).select("user", "neighbour", r6(F.col("similarity")).alias("similarity"), "rank")
 
 
-def _word_ratings(spark, d):
-    """``(user, item, rating)``: how often each document has each word; written once, as it is read twice."""
+def _neighbours_and_ratings(spark, d):
+    """The nearest documents of each, and ``(user, item, rating)``, how often each has each word: both from one
+    written table of words, so that texts are tokenised once."""
     t = _doc_tokens(spark, d)
-    return cut(t.groupBy(F.col("id").alias("user"), F.col("token").alias("item")).agg(F.count(F.lit(1)).alias("rating")))
+    counts = cut(t.groupBy("id", "token").agg(F.count(F.lit(1)).alias("n")))
+    topk = _topk(_distinct_sets(cut(match.encoded(counts.select("id", "token")))))
+    return topk, counts.select(F.col("id").alias("user"), F.col("token").alias("item"), F.col("n").alias("rating"))
 
 
 def q_predict_from_neighbours(spark, d):
-    p = recommend.predict_from_neighbours(_word_ratings(spark, d), _topk(spark, d))
+    topk, ratings = _neighbours_and_ratings(spark, d)
+    p = recommend.predict_from_neighbours(ratings, topk)
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
 
@@ -203,10 +210,10 @@ def q_als_rmse(spark, d):
 
 def q_als_predict(spark, d):
     """The best words that a document's neighbours have and it lacks, by a model of word counts."""
-    ratings = _word_ratings(spark, d)
+    topk, ratings = _neighbours_and_ratings(spark, d)
     model = factor.als_fit(ratings, rank=ALS_RANK, iterations=ALS_ITERS, reg=ALS_REG, seed=ALS_SEED)
     theirs = ratings.select(F.col("user").alias("neighbour"), "item")
-    cells = _topk(spark, d).join(theirs, "neighbour").select("user", "item")
+    cells = topk.join(theirs, "neighbour").select("user", "item")
     p = factor.als_predict(model, cells, ratings, top_n=ALS_TOP)
     return p.select("user", "item", r6(F.col("rating")).alias("rating"))
 
