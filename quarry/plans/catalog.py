@@ -352,7 +352,7 @@ def q_io_rejects(spark, d):
     good = got.rows.groupBy(F.col("user").cast("string").alias("line"))
     spoilt = got.rejects.groupBy(F.col("value").alias("line"))
     count = F.count(F.lit(1)).alias("n")
-    return good.agg(F.lit(False).alias("rejected"), count).union(spoilt.agg(F.lit(True).alias("rejected"), count))
+    return good.agg(F.lit(0).alias("rejected"), count).union(spoilt.agg(F.lit(1).alias("rejected"), count))
 
 
 def q_io_edges(spark, d):

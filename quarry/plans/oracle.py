@@ -357,7 +357,7 @@ IO_LAST_RATINGS = """SELECT o.o_custkey AS "user", l.l_partkey AS item,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2"""
 IO_REJECTS = """WITH r AS (SELECT o.o_custkey AS u, l.l_partkey AS i, l.l_quantity AS q, l_orderkey % 7 = 0 AS bad
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
-SELECT CASE WHEN bad THEN 'x' || u || ',' || i || ',' || q ELSE u::VARCHAR END AS line, bad AS rejected, count(*) AS n FROM r GROUP BY 1, 2"""
+SELECT CASE WHEN bad THEN 'x' || u || ',' || i || ',' || q ELSE u::VARCHAR END AS line, bad::INTEGER AS rejected, count(*) AS n FROM r GROUP BY 1, 2"""
 IO_EDGES = f"""WITH {PART_EDGES} SELECT src::VARCHAR AS src, dst::VARCHAR AS dst, count(*) AS n FROM pe GROUP BY 1, 2"""
 IO_VECTORS = """SELECT CAST(len(e) AS INTEGER) AS dims, round(e[1], 6) AS first, round(e[-1], 6) AS last, round(list_sum(e), 6) AS total
 FROM (SELECT CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
