@@ -15,7 +15,7 @@ from quarry.functions import sql
 from quarry.functions.hashing import DEFAULT_FAMILY, RECOMMENDER_FAMILY
 from quarry.operators import cluster, factor, graph, match, minhash, patterns, recommend, text
 from quarry.plans import inputs
-from quarry.plans.lineage import cut, work_dir
+from quarry.plans.lineage import cut, staged, work_dir
 from quarry.sources import readers, writers
 from quarry.sources.lines import write_group_lines
 
@@ -76,7 +76,7 @@ def q_sql_clusters(spark, d):
 # -- MinHash / LSH over customer -> parts ------------------------------------
 def _rec_sets(spark, d):
     """Customer part sets, written once: MinHash, set sizes and intersections all read them."""
-    return cut(inputs.customer_parts(spark, d))
+    return staged(inputs.customer_parts(spark, d), "customer-parts")
 
 
 def _rec_signatures(spark, d, sets=None):
@@ -103,7 +103,7 @@ def q_lsh_buckets(spark, d):
 # -- candidates, similarity and neighbours over documents -> words -------------
 def _distinct_sets(sets):
     """The word sets without those that equal an earlier one."""
-    return cut(sets.join(match.copy_groups(sets).select("id"), "id", "left_anti"))
+    return staged(sets.join(match.copy_groups(sets).select("id"), "id", "left_anti"), "word-sets")
 
 
 def _word_sets(spark, d):
@@ -113,7 +113,7 @@ def _word_sets(spark, d):
 
 def _word_candidates(sets):
     bands = minhash.lsh_bands(minhash.minhash(sets, DOC_BANDS * DOC_ROWS), DOC_BANDS, DOC_ROWS)
-    return cut(minhash.lsh_candidates(bands))
+    return staged(minhash.lsh_candidates(bands), "word-candidates")
 
 
 def q_lsh_candidates(spark, d):
@@ -127,7 +127,7 @@ def q_pair_similarity(spark, d):
 
 
 def _topk(sets):
-    sims = minhash.mirrored(cut(minhash.pair_similarity(_word_candidates(sets), sets, sets_distinct=True)))
+    sims = minhash.mirrored(staged(minhash.pair_similarity(_word_candidates(sets), sets, sets_distinct=True), "word-similarity"))
     return recommend.similar_topk(sims, REC_TOP)
 
 
@@ -139,8 +139,8 @@ def _neighbours_and_ratings(spark, d):
     """The nearest documents of each, and ``(user, item, rating)``, how often each has each word: both from one
     written table of words, so that texts are tokenised once."""
     t = _doc_tokens(spark, d)
-    counts = cut(t.groupBy("id", "token").agg(F.count(F.lit(1)).alias("n")))
-    topk = _topk(_distinct_sets(cut(match.encoded(counts.select("id", "token")))))
+    counts = staged(t.groupBy("id", "token").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    topk = _topk(_distinct_sets(staged(match.encoded(counts.select("id", "token")), "word-sets")))
     return topk, counts.select(F.col("id").alias("user"), F.col("token").alias("item"), F.col("n").alias("rating"))
 
 
