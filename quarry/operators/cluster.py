@@ -2,8 +2,8 @@
 
 k centres of dimension d are a bounded table (k x d numbers), so each round
 ships them inside the expression: assignment is a row-local argmin with no
-join at all; the new centres are a ``groupBy(cid)`` of one vector mean
-whose partial aggregation leaves one row per cluster and map task, and the k
+join at all.  In a round every task sums its points by nearest centre, as matrices of
+a batch of points, into one row per cluster; a ``groupBy(cid)`` adds these up, and the k
 result rows are the one collect per round.
 """
 
@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -49,29 +52,62 @@ def kmeans_fit(df: DataFrame, k: int, converge_dist: float = 1e-4, init: Sequenc
     are unlimited unless ``max_iter`` bounds them.
     Returns ``(centres, rounds)``; see :func:`centres_frame` for a DataFrame.
     """
-    # the points are read once per round: keep them in memory (spilling to disk); a lost
-    # block is re-read from the source, the lineage being one scan and a cast
-    data = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    data = data.where(F.col("vec").isNotNull()).persist()
-    try:
-        return _lloyd(data, k, converge_dist, init, max_iter, seed)
-    finally:
-        data.unpersist()
-
-
-def _lloyd(data: DataFrame, k: int, converge_dist: float, init, max_iter: int | None, seed):
+    data = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("vec").isNotNull())
     centres = [list(map(float, c)) for c in (init or init_centres(data, k, "id", "vec", seed))]
     if not centres:
         return centres, 0
+    # the points are read once per round: keep them in memory (spilling to disk) as bytes, dealt over all cores; a lost
+    # block is re-read from the source, the lineage being one scan, a cast and a shuffle
+    points, cores = data.select("vec"), df.sparkSession.sparkContext.defaultParallelism
+    points = points if points.rdd.getNumPartitions() >= cores else points.repartition(cores)
+    points = points.mapInArrow(_packed, "point binary").persist()
+    try:
+        return _lloyd(points, centres, converge_dist, max_iter)
+    finally:
+        points.unpersist()
+
+
+def _packed(batches):
+    for b in batches:
+        vecs = b.column(0)
+        ends = 8 * np.concatenate([[0], np.cumsum(pc.list_value_length(vecs).to_numpy(zero_copy_only=False))])
+        flat = np.ascontiguousarray(vecs.flatten().to_numpy(zero_copy_only=False), np.float64)
+        yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(vecs), [None, pa.py_buffer(ends.astype(np.int32)),
+                                                                                       pa.py_buffer(flat)])], names=["point"])
+
+
+def _sums(centres: np.ndarray):
+    """The task of one round: ``(cid, n, total)``, count and sum of the points nearest to each centre."""
+    k, d = centres.shape
+
+    def run(batches):
+        n, total = np.zeros(k, np.int64), np.zeros((k, d))
+        for b in batches:
+            for i in range(0, b.num_rows, 4096):
+                some = b.column(0).slice(i, 4096).to_pylist()
+                if any(len(p) != 8 * d for p in some):
+                    raise ValueError(f"a point has another number of dimensions than the centres' {d}")
+                x = np.frombuffer(b"".join(some), np.float64).reshape(len(some), d)
+                dist = np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
+                best = np.where(np.isnan(dist), np.inf, dist).argmin(axis=1)  # ties: the lowest index
+                n += np.bincount(best, minlength=k)
+                for c in np.unique(best):
+                    total[c] += x[best == c].sum(axis=0)
+        held = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(n[held]), pa.array(total[held].tolist(), pa.list_(pa.float64()))],
+                                         names=["cid", "n", "total"])
+    return run
+
+
+def _lloyd(points: DataFrame, centres: list[list[float]], converge_dist: float, max_iter: int | None):
     rounds = 0
     while True:
-        best = nearest(F.col("vec"), centres)
-        stats = (data.select(best["cid"].alias("cid"), array_to_vector("vec").alias("point")).groupBy("cid")
-                 .agg(Summarizer.mean(F.col("point")).alias("mean")).collect())
+        stats = (points.mapInArrow(_sums(np.array(centres)), "cid int, n long, total array<double>").groupBy("cid")
+                 .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("total")).alias("total")).collect())
         shift = 0.0
         new = [list(c) for c in centres]
         for row in stats:
-            point = [float(x) for x in row["mean"]]
+            point = [float(x) / row["n"] for x in row["total"]]
             shift += sum((a - b) ** 2 for a, b in zip(centres[row["cid"]], point))
             new[row["cid"]] = point
         centres = new

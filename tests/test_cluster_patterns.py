@@ -80,3 +80,16 @@ def test_ml_mode_finds_separated_clusters(spark):
     df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, vec array<double>")
     centres = sorted(kmeans_fit_ml(df, 2))
     assert np.allclose(centres, [X[:20].mean(0), X[20:].mean(0)], atol=1e-6)
+
+
+def test_kmeans_round_sums_in_its_tasks(spark):
+    from quarry.operators.cluster import _packed, _sums
+
+    rows = [([float(i % 5), float(i % 3)],) for i in range(500)]
+    points = spark.createDataFrame(rows, "vec array<double>").repartition(3).mapInArrow(_packed, "point binary")
+    centres = np.array([[0.0, 0.0], [0.0, 0.0], [4.0, 2.0]])  # the second of two equal centres gets nothing
+    got = points.mapInArrow(_sums(centres), "cid int, n long, total array<double>").collect()
+    assert len(got) <= 3 * 2 and {r.cid for r in got} == {0, 2} and sum(r.n for r in got) == 500
+    assert np.allclose(sum(np.array(r.total) for r in got), np.array([r[0] for r in rows]).sum(0))
+    with pytest.raises(Exception, match="dimensions"):
+        kmeans_fit(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "id long, vec array<double>"), 1)
