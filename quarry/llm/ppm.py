@@ -420,7 +420,7 @@ def score_texts(docs: DataFrame, train_when, order: int = 5, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        (~F.coalesce(train_when, F.lit(False))).alias("held_out"))
     text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    read = staged(portions_of(rows, order, MIN_SHARDS + text_bytes // shard, portion), "ppm-portions")
+    read = staged(portions_of(rows, order, MIN_SHARDS + text_bytes // shard, portion), "ppm-portions", compression="zstd")
     words = staged(read.where(F.col("kind") == WORD_COUNT).groupBy("key").agg(F.sum("n").alias("c")), "ppm-words")
     total = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     n_train, n_words = total[0] or 0, total[1]

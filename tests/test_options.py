@@ -141,3 +141,12 @@ def test_documented_edge_behaviours(spark):
     pts = spark.createDataFrame([(0, [0.0]), (1, [2.0])], "id long, vec array<double>")
     centres, rounds = kmeans_fit(pts, 1, converge_dist=5.0)
     assert rounds == 1 and centres == [[1.0]]
+
+
+def test_staged_tables_take_a_codec(spark):
+    from quarry.plans.lineage import scope, staged
+
+    with scope(spark):
+        out = staged(spark.range(10), "codec", compression="zstd")
+        assert out.count() == 10 and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
+        assert not any(f.endswith(".zstd.parquet") for f in staged(spark.range(10), "codec").inputFiles())
