@@ -183,6 +183,63 @@ def trie_counts(baskets: DataFrame, itemsets: list[list], size: int) -> DataFram
     return baskets.mapInArrow(run, schema).groupBy("place").agg(F.sum("n").alias("n"))
 
 
+class Rules:
+    """Rules ``(antecedent, consequent, confidence)`` by their consequent; an empty antecedent is in no basket."""
+
+    def __init__(self, rules: list[tuple]):
+        self.of: dict = {}
+        for antecedent, consequent, confidence in rules:
+            items = tuple(dict.fromkeys(x for x in antecedent if x is not None))
+            if items:
+                self.of.setdefault(consequent, []).append((items, confidence))
+
+    def offers(self, baskets: pa.Array) -> Iterator[tuple]:
+        """For each consequent the places of the baskets that lack it and hold an antecedent of it, the best confidence
+        and the number of such rules."""
+        sets = BitSets(baskets)
+        place = {x: i for i, x in enumerate(sets.items.to_pylist())}
+        bits: dict = {}
+
+        def of(item):
+            if item not in bits:
+                bits[item] = sets.bits(place[item]) if item in place else np.zeros(sets.words, np.uint64)
+            return bits[item]
+
+        for consequent, rules in self.of.items():
+            best, n = np.full(sets.n, -np.inf), np.zeros(sets.n, np.int64)
+            lacking = ~of(consequent)
+            for items, confidence in rules:
+                held = lacking
+                for x in items:
+                    held = held & of(x)
+                at = np.flatnonzero(np.unpackbits(held.view(np.uint8), count=sets.n))
+                best[at] = np.maximum(best[at], confidence)
+                n[at] += 1
+            at = np.flatnonzero(n)
+            if len(at):
+                yield consequent, at, best[at], n[at]
+
+
+def rule_offers(baskets: DataFrame, rules: list[tuple], item: T.DataType, size: int = 1 << 14) -> DataFrame:
+    """``(basket, item, confidence, n_rules)`` for ``(basket, items)``, each basket by itself: what rules offer to the baskets
+    that lack it.  The rules go to every task, and nothing is shuffled."""
+    every = baskets.sparkSession.sparkContext.broadcast(Rules(rules))
+    schema = T.StructType([baskets.schema["basket"], T.StructField("item", item), T.StructField("confidence", T.DoubleType()),
+                           T.StructField("n_rules", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            for start in range(0, b.num_rows, size):
+                part = b.slice(start, size)
+                found = list(every.value.offers(part.column("items")))
+                if found:
+                    consequents, at, best, n = zip(*found)
+                    names = pa.array(consequents).take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in at])))
+                    yield pa.RecordBatch.from_arrays([part.column("basket").take(pa.array(np.concatenate(at))), names,
+                                                      pa.array(np.concatenate(best)), pa.array(np.concatenate(n))], names=schema.fieldNames())
+    return baskets.select("basket", "items").mapInArrow(run, schema)
+
+
 def two_pass_itemsets(baskets: DataFrame, min_count: int, max_size: int | None = None, max_trie: int = MAX_TRIE,
                       min_stretch: int | None = None) -> DataFrame:
     """``(items, size, support)`` of the itemsets that at least ``min_count`` of the baskets ``(items)`` hold.

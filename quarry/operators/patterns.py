@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.containment import contained
-from quarry.operators.itemsets import supports_two_passes, two_pass_itemsets
+from quarry.operators.itemsets import MAX_TRIE, rule_offers, supports_two_passes, two_pass_itemsets
 from quarry.plans.lineage import scope, staged
 
 
@@ -60,14 +60,19 @@ def association_rules(basket_df: DataFrame, min_count: int | None = None, min_su
             .where(F.col("confidence") >= min_conf).select("antecedent", "consequent", "support", "confidence"))
 
 
-def apply_rules(rules: DataFrame, basket_df: DataFrame) -> DataFrame:
+def apply_rules(rules: DataFrame, basket_df: DataFrame, max_rules: int = MAX_TRIE) -> DataFrame:
     """``(basket, item, confidence, n_rules)``: items that a basket lacks and that rules whose antecedent it holds lead to.
 
-    ``confidence`` is that of the best such rule.  Antecedents meet baskets in the containment join.
+    ``confidence`` is that of the best such rule.  ``max_rules`` rules at most go to every task, which meets them with the
+    bit sets of its baskets; more rules, or rows that share a basket or have none, meet in the containment join.
     """
     with scope(basket_df.sparkSession) as own:
         rows = staged(basket_df.select("basket", "items"), "rule-baskets")
         known = staged(rules.select("antecedent", "consequent", "confidence"), "rules")
+        shared = F.col("basket").isNull() | (F.col("n") > 1)
+        if known.count() <= max_rules and rows.groupBy("basket").agg(F.count(F.lit(1)).alias("n")).where(shared).isEmpty():
+            listed = [tuple(r) for r in known.collect()]
+            return own.hand_over(staged(rule_offers(rows, listed, known.schema["consequent"].dataType), "rule-matches"))
         matched = contained(known.select(F.col("antecedent").alias("set_id"), F.col("antecedent").alias("items")).distinct(),
                             rows.select(F.col("basket").alias("basket_id"), "items"))
         offered = (matched.join(known, matched.set_id == known.antecedent)
