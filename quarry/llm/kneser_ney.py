@@ -1,14 +1,14 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-Training.  The trigram model learns from trusted text: a bounded sample of the
-labelled good documents (``max_docs`` documents, the languages in turn, lowest md5
-of the id first, and no more than ``max_words`` words in all; both are documented
-bounds; a text that does not fit into the words left is passed over), of which
-every second one is learned from.  If trusted documents exist but none fits, an
-error is raised.  Counts,
+Training.  The trigram model learns from trusted text: of all labelled good documents
+every second one of a language, in the order of the md5 of the id.  A caller may bound this to
+``max_docs`` documents, the languages in turn, lowest md5
+of the id first, and no more than ``max_words`` words in all (a text that does not fit into
+the words left is passed over; if trusted documents exist but none fits, an
+error is raised).  Counts,
 continuation counts, the three discounts of every order and the interpolated
 probabilities are grouped sums, windows and joins sharded by n-gram or context.
-The finished model (one row per n-gram of the sample) is written by the tasks as
+The finished model (one row per n-gram learned) is written by the tasks as
 sorted blocks of keys and values in the shared folder (:class:`Blocks`), which
 the scoring tasks map into memory; the driver sees counts of counts and file names.
 
@@ -40,10 +40,14 @@ from pyspark.sql import Window
 
 from quarry.llm.binary_sink import mapped_bytes, write_blobs
 from quarry.llm.common import WORD, map_columns, packed, scope, small_batches, staged, strings, unstaged, work_dir
+from quarry.plans.order import numbered
 
 START_KEY, END_KEY = 1, 2  # no 64-bit hash of a word is assumed to be these
 PSEUDO_WORDS = 30.0
-SHARDS = 4  # files of a table of the model, which is bounded by the sample
+SHARDS = 4  # files of a table of the model
+BLOCK_KEYS = 4_000_000  # keys of a block at most: a task holds one while it writes
+MAX_DOCS, MAX_WORDS = 8_000, 5_000_000  # the other bound, where a caller gives one of the two
+SEEN_WORDS = 60_000  # words of which a scoring task keeps the keys
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -88,6 +92,19 @@ def training_sample(docs: DataFrame, trusted: DataFrame, max_docs: int, max_word
     return sample.join(F.broadcast(ids), "id", "left_semi").select("id", "text")
 
 
+def training_half(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``(id, text)``: every second of all trusted documents of a language, by the md5 of the id; one text for each id."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    every = (rows.select("id", "lang").join(trusted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("lang")).alias("d"))
+             .select("id", "d.lang"))
+    placed = staged(numbered(every, "lang", F.md5(F.col("id").cast("string")), "id"), "kn-trusted")
+    first = placed.groupBy(F.col("lang").alias("l")).agg(F.min("ordinal").alias("first"))  # a row per language
+    ids = staged(placed.join(F.broadcast(first), F.col("lang").eqNullSafe(F.col("l")))
+                 .where((F.col("ordinal") - F.col("first")) % 2 == 0).select("id"), "kn-ids")
+    return (rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("lang", "text")).alias("d"))
+            .select("id", "d.text"))
+
+
 def sequences(texts: DataFrame) -> DataFrame:
     """``(k)``: the word keys of each text, two start keys before and an end key after them."""
     keys = F.transform(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), lambda w: F.xxhash64(w))
@@ -96,7 +113,7 @@ def sequences(texts: DataFrame) -> DataFrame:
 
 
 class Blocks:
-    """A table of 64-bit keys and 32-bit values in files of sorted keys, each ``count, keys, values``; opened where it is used."""
+    """A table of 64-bit keys and 32-bit values in files of blocks of sorted keys, each ``count, keys, values, zeros``; opened where it is used."""
 
     def __init__(self, files: list[str]):
         self.files = files
@@ -109,13 +126,12 @@ class Blocks:
         if self._open is None:
             found = []
             for f in self.files:
-                raw = mapped_bytes(f)
-                n = int(raw[:8].view("<i8")[0])
-                found.append((raw[8:8 + 8 * n].view("<i8"), raw[8 + 8 * n:8 + 12 * n].view("<f4")))
-            found = sorted((x for x in found if len(x[0])), key=lambda x: int(x[0][0]))
-            if len(found) > 4 * SHARDS:
-                found = [(np.concatenate([k for k, _ in found]), np.concatenate([v for _, v in found]))]
-            self._open = found
+                raw, at = mapped_bytes(f), 0
+                while at < len(raw):
+                    n = int(raw[at:at + 8].view("<i8")[0])
+                    found.append((raw[at + 8:at + 8 + 8 * n].view("<i8"), raw[at + 8 + 8 * n:at + 8 + 12 * n].view("<f4")))
+                    at += 16 + 12 * n + 4 * (n % 2)  # blocks begin at a multiple of 8: unaligned keys would be copied by every look-up
+            self._open = sorted((x for x in found if len(x[0])), key=lambda x: int(x[0][0]))
         return self._open
 
     def keys(self) -> np.ndarray:
@@ -127,8 +143,11 @@ class Blocks:
         hit, out = np.zeros(len(keys), bool), np.full(len(keys), default)
         parts = self.parts()
         own = np.searchsorted(np.array([k[0] for k, _ in parts], np.int64), keys, "right") - 1 if len(parts) > 1 else None
-        for i, (k, values) in enumerate(parts):
-            at = np.arange(len(keys)) if own is None else np.flatnonzero(own == i)
+        order = np.arange(len(keys)) if own is None else np.argsort(own, kind="stable")
+        ends = [len(keys)] if own is None else np.searchsorted(own[order], np.arange(len(parts)), "right")
+        begins = [0] if own is None else np.searchsorted(own[order], np.arange(len(parts)))
+        for (k, values), begin, end in zip(parts, begins, ends):
+            at = order[begin:end]
             place = np.minimum(np.searchsorted(k, keys[at]), len(k) - 1)
             same = k[place] == keys[at]
             hit[at[same]] = True
@@ -136,28 +155,29 @@ class Blocks:
         return hit, out
 
 
-def write_blocks(rows: DataFrame, path: str) -> dict[str, Blocks]:
-    """Write ``(kind string, key long, value float)`` as sorted blocks; a table per kind."""
+def write_blocks(rows: DataFrame, path: str, most: int = BLOCK_KEYS) -> dict[str, Blocks]:
+    """Write ``(kind string, key long, value float)`` as sorted blocks of ``most`` keys and a batch at most; a table per kind."""
     spark = rows.sparkSession
     small_batches(spark)
     schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("blob", T.BinaryType())])
 
     def run(batches):
-        kind, held = None, []
+        kind, held, n = None, [], 0
 
         def block():
             k = np.concatenate([x for x, _ in held])
             v = np.concatenate([x for _, x in held])
-            body = np.int64(len(k)).tobytes() + k.astype("<i8").tobytes() + v.astype("<f4").tobytes() + bytes(8)
+            body = np.int64(len(k)).tobytes() + k.astype("<i8").tobytes() + v.astype("<f4").tobytes() + bytes(8 + 4 * (len(k) % 2))
             return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([body], pa.binary())], names=schema.fieldNames())
         for b in batches:
             kinds = b.column("kind")
             for name in dict.fromkeys(kinds.to_pylist()):
-                if held and name != kind:
-                    yield block()
-                    held = []
                 at = pc.equal(kinds, name)
+                if held and (name != kind or n >= most):
+                    yield block()
+                    held, n = [], 0
                 kind = name
+                n += pc.sum(at).as_py()
                 held.append((b.column("key").filter(at).to_numpy(), b.column("value").filter(at).to_numpy()))
         if held:
             yield block()
@@ -173,7 +193,7 @@ def write_blocks(rows: DataFrame, path: str) -> dict[str, Blocks]:
 
 
 def vocabulary(seq: DataFrame) -> Blocks:
-    """Word keys of the sample (bounded by it); a word's place in their order is its number."""
+    """Word keys of the text learned from; a word's place in their order is its number."""
     keys = seq.select(F.explode("k").alias("key")).groupBy("key").agg(F.lit(0.0).cast("float").alias("value"))
     return write_blocks(keys.withColumn("kind", F.lit("words")), work_dir(seq.sparkSession, "kn-words")).get("words", Blocks([]))
 
@@ -218,7 +238,7 @@ def _order(counted: DataFrame, context: list[str], lower: DataFrame, d: tuple[fl
     low = lower.withColumnRenamed("p", "low")
     joined = counted.join(low, [c for c in low.columns if c != "low"])
     discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    every = Window.partitionBy(*context)  # followers of one context in the bounded sample
+    every = Window.partitionBy(*context)  # followers of one context
     total, freed = F.sum("c").over(every), F.sum(discount).over(every)
     return (joined.withColumn("total", total).withColumn("g", freed / F.col("total"))
             .withColumn("at", F.row_number().over(every.orderBy("w")))
@@ -322,7 +342,7 @@ def perplexities(docs: DataFrame, model: dict | None, text_col: str = "text", ke
                 n.append(len(words) + 1)
                 if model is None:
                     continue
-                if len(seen) > 300_000:
+                if len(seen) > SEEN_WORDS:
                     seen.clear()
                 for w in words:
                     if w not in seen:
@@ -332,7 +352,7 @@ def perplexities(docs: DataFrame, model: dict | None, text_col: str = "text", ke
                 k[2:-1] = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
                 batch.append(k)
                 size += len(k)
-                if size > 200_000:
+                if size > 50_000:
                     flush()
             flush()
             got = pa.nulls(len(n), pa.float64()) if model is None else pa.array(np.concatenate(logs), pa.float64())
@@ -359,17 +379,23 @@ def thresholds(calibration: DataFrame, quantile: float, slack: float, min_calibr
                                             "threshold")))
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_docs: int = 8_000, max_words: int = 5_000_000, quantile: float = 0.995,
+def classify(docs: DataFrame, labels: DataFrame, max_docs: int | None = None, max_words: int | None = None, quantile: float = 0.995,
              slack: float = 1.05, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              keep: list[str] | None = None, min_calibration: int = 1) -> DataFrame:
     """``(row, n_tokens, log10_prob, perplexity, threshold, kept)`` for every row of ``docs``;
     ``threshold`` is the perplexity limit of the row's language: its own from ``min_calibration`` trusted
-    documents up, else that of all languages."""
+    documents up, else that of all languages.  Without ``max_docs`` and ``max_words`` the model learns from every second of
+    all trusted documents."""
     spark = docs.sparkSession
     limits = []
     with scope(spark) as own:  # only the scored rows outlive it
         trusted = staged(trusted_ids(labels), "kn-labels")
-        sample = staged(training_sample(docs, trusted, max_docs, max_words, id_col, text_col, lang_col), "kn-sample")
+        if max_docs is None and max_words is None:
+            sample = training_half(docs, trusted, id_col, text_col, lang_col)
+        else:
+            sample = training_sample(docs, trusted, MAX_DOCS if max_docs is None else max_docs, MAX_WORDS if max_words is None else max_words,
+                                     id_col, text_col, lang_col)
+        sample = staged(sample, "kn-sample")
         model = train(sample.select("text"))
         columns = list(dict.fromkeys([*(docs.columns if keep is None else keep), id_col, lang_col]))
         rows = perplexities(docs, model, text_col, columns)
@@ -377,7 +403,7 @@ def classify(docs: DataFrame, labels: DataFrame, max_docs: int = 8_000, max_word
             rows = own.hand_over(staged(rows, "kn-scored"))
             scored = (rows.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{lang_col}`").cast("string").alias("lang"),
                                   "n_tokens", "log10_prob")
-                      .join(trusted, "id", "left_semi").join(F.broadcast(sample.select("id")), "id", "left_anti"))
+                      .join(trusted, "id", "left_semi").join(sample.select("id"), "id", "left_anti"))
             limits = thresholds(scored, quantile, slack, min_calibration).collect()  # a row per language
     by_lang = spark.createDataFrame([(r["lang"], r["mean"], r["threshold"]) for r in limits if not r["every"]],
                                     "l string, mean double, lim double")
