@@ -8,6 +8,8 @@ the words left is passed over; if trusted documents exist but none fits, an
 error is raised).  Counts,
 continuation counts, the three discounts of every order and the interpolated
 probabilities are grouped sums, windows and joins sharded by n-gram or context.
+Larger texts are counted and solved in slices of n-grams, by the word before the last, one after
+another, so that a slice's shuffles and tables are gone before the next one's are written.
 The finished model (one row per n-gram learned) is written by the tasks as
 sorted blocks of keys and values in the shared folder (:class:`Blocks`), which
 the scoring tasks map into memory; the driver sees counts of counts and file names.
@@ -30,10 +32,14 @@ perplexity; repeated rows score alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -44,12 +50,28 @@ from quarry.plans.order import numbered
 
 START_KEY, END_KEY = 1, 2  # no 64-bit hash of a word is assumed to be these
 PSEUDO_WORDS = 30.0
-SHARDS = 4  # files of a table of the model
+SHARD_BITS = 6  # leading bits of a key that name its shard of a table of the model
+SLICE_BITS, SLICE_WORDS = 3, 2_500_000  # 2 ** bits slices at most, of so many words each where they are fewer
 BLOCK_KEYS = 4_000_000  # keys of a block at most: a task holds one while it writes
 MAX_DOCS, MAX_WORDS = 8_000, 5_000_000  # the other bound, where a caller gives one of the two
 SEEN_WORDS = 60_000  # words of which a scoring task keeps the keys
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside are deleted when the query ends, and not when the driver happens to collect garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """``(id)``: the documents labelled as good and not toxic."""
     return (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(F.col("doc_id").alias("id"))
@@ -142,50 +164,56 @@ class Blocks:
         keys = keys.view(np.int64)
         hit, out = np.zeros(len(keys), bool), np.full(len(keys), default)
         parts = self.parts()
-        own = np.searchsorted(np.array([k[0] for k, _ in parts], np.int64), keys, "right") - 1 if len(parts) > 1 else None
-        order = np.arange(len(keys)) if own is None else np.argsort(own, kind="stable")
-        ends = [len(keys)] if own is None else np.searchsorted(own[order], np.arange(len(parts)), "right")
-        begins = [0] if own is None else np.searchsorted(own[order], np.arange(len(parts)))
-        for (k, values), begin, end in zip(parts, begins, ends):
-            at = order[begin:end]
-            place = np.minimum(np.searchsorted(k, keys[at]), len(k) - 1)
-            same = k[place] == keys[at]
-            hit[at[same]] = True
-            out[at[same]] = values[place[same]]
+        order = np.argsort(keys)  # look-ups in key order stay close to each other in a large table
+        keys = keys[order]
+        begins = np.searchsorted(keys, np.array([k[0] for k, _ in parts], np.int64))
+        for (k, values), begin, end in zip(parts, begins, [*begins[1:], len(keys)]):
+            some = keys[begin:end]
+            place = np.minimum(np.searchsorted(k, some), len(k) - 1)
+            same = k[place] == some
+            at = order[begin:end][same]
+            hit[at] = True
+            out[at] = values[place[same]]
         return hit, out
 
 
 def write_blocks(rows: DataFrame, path: str, most: int = BLOCK_KEYS) -> dict[str, Blocks]:
-    """Write ``(kind string, key long, value float)`` as sorted blocks of ``most`` keys and a batch at most; a table per kind."""
+    """Write ``(kind string, key long, value float)`` as sorted blocks of ``most`` keys and a batch at most; a table per kind.
+
+    Keys are hashes: their leading bits deal them out evenly, and no block reaches beyond a shard.
+    """
     spark = rows.sparkSession
     small_batches(spark)
     schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("blob", T.BinaryType())])
 
     def run(batches):
-        kind, held, n = None, [], 0
+        last, held, n = None, [], 0
 
         def block():
             k = np.concatenate([x for x, _ in held])
             v = np.concatenate([x for _, x in held])
             body = np.int64(len(k)).tobytes() + k.astype("<i8").tobytes() + v.astype("<f4").tobytes() + bytes(8 + 4 * (len(k) % 2))
-            return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([body], pa.binary())], names=schema.fieldNames())
+            return pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([body], pa.binary())], names=schema.fieldNames())
         for b in batches:
-            kinds = b.column("kind")
-            for name in dict.fromkeys(kinds.to_pylist()):
-                at = pc.equal(kinds, name)
-                if held and (name != kind or n >= most):
+            kinds, shards = b.column("kind").dictionary_encode(), b.column("shard").to_numpy()
+            codes, keys, values = kinds.indices.to_numpy(), b.column("key").to_numpy(), b.column("value").to_numpy()
+            starts = np.flatnonzero(np.r_[len(codes) > 0, (codes[1:] != codes[:-1]) | (shards[1:] != shards[:-1])])
+            for begin, end in zip(starts, [*starts[1:], len(codes)]):
+                own = kinds.dictionary[int(codes[begin])].as_py(), int(shards[begin])
+                if held and (own != last or n >= most):
                     yield block()
                     held, n = [], 0
-                kind = name
-                n += pc.sum(at).as_py()
-                held.append((b.column("key").filter(at).to_numpy(), b.column("value").filter(at).to_numpy()))
+                last = own
+                n += end - begin
+                held.append((keys[begin:end], values[begin:end]))
         if held:
             yield block()
 
-    dealt = rows.select("kind", "key", "value").repartitionByRange(SHARDS, "kind", "key").sortWithinPartitions("kind", "key")
+    dealt = (rows.select("kind", F.shiftright("key", 64 - SHARD_BITS).cast("int").alias("shard"), "key", "value")
+             .repartition("kind", "shard").sortWithinPartitions("kind", "shard", "key"))
     write_blobs(dealt.mapInArrow(run, schema), path, "blob", partition_by="kind")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
-             .select("path").collect())  # SHARDS a kind
+             .select("path").collect())  # a shard's worth each at least
     out: dict[str, list[str]] = {}
     for r in files:
         out.setdefault(r["path"].rsplit("kind=", 1)[1].split("/")[0], []).append(r["path"])
@@ -198,8 +226,23 @@ def vocabulary(seq: DataFrame) -> Blocks:
     return write_blocks(keys.withColumn("kind", F.lit("words")), work_dir(seq.sparkSession, "kn-words")).get("words", Blocks([]))
 
 
-def trigrams(seq: DataFrame, vocab: Blocks) -> DataFrame:
-    """``(u, v, w, c)``: counted trigrams of word numbers.
+def numbered_words(seq: DataFrame, vocab: Blocks) -> DataFrame:
+    """``(k)``: the sequences with the numbers of their words."""
+    small_batches(seq.sparkSession)
+
+    def run(batches):
+        words = vocab.keys()
+        for b in batches:
+            lists = b.column(0)
+            number = pa.array(np.searchsorted(words, lists.flatten().to_numpy()).astype(np.int32))
+            ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), number)], names=["k"])
+
+    return seq.mapInArrow(run, T.StructType([T.StructField("k", T.ArrayType(T.IntegerType()))]))
+
+
+def trigrams(seq: DataFrame, vocab: Blocks, part: int = 0, parts: int = 1) -> DataFrame:
+    """``(u, v, w, c)``: counted trigrams of word numbers, of the slice ``part`` of ``parts`` by the word ``v``.
 
     Partitioned by the last two words, so that each bigram's count is whole in one partition.
     """
@@ -207,13 +250,14 @@ def trigrams(seq: DataFrame, vocab: Blocks) -> DataFrame:
     small_batches(seq.sparkSession)
 
     def run(batches):
-        words = vocab.keys()
+        own = _leading(vocab.keys()) * np.uint64(parts) >> np.uint64(SLICE_BITS) == part
         for b in batches:
             lists = b.column(0)
-            number = np.searchsorted(words, lists.flatten().to_numpy()).astype(np.int32)
+            number = lists.flatten().to_numpy()
             ends = np.cumsum(pc.list_value_length(lists).to_numpy())
             whole = np.ones(len(number), bool)
             whole[ends - 1] = whole[ends - 2] = False  # no trigram begins at a text's last two places
+            whole[:-1] &= own[number[1:]]
             at = np.flatnonzero(whole)
             yield pa.RecordBatch.from_arrays([pa.array(number[at + j]) for j in range(3)], names=schema.fieldNames())
 
@@ -246,13 +290,20 @@ def _order(counted: DataFrame, context: list[str], lower: DataFrame, d: tuple[fl
                     F.when(F.col("at") == 1, F.col("g")).alias("g")))
 
 
+def _leading(keys: np.ndarray) -> np.ndarray:
+    """The leading bits of each word key, which name its slice."""
+    return keys.view(np.uint64) >> np.uint64(64 - SLICE_BITS)
+
+
 def _mix(*keys: np.ndarray) -> np.ndarray:
-    """One 64-bit key of several."""
+    """One 64-bit key of several; it begins like the key of the middle one of three words or the first of fewer, by which
+    n-grams are sliced, so that the slices' keys don't overlap."""
     out = np.zeros(len(keys[0]), np.uint64)
     for k in keys:
         out = (out ^ k.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
-    return out
+    lead = _leading(keys[len(keys) // 3])
+    return out >> np.uint64(SLICE_BITS) | lead << np.uint64(64 - SLICE_BITS)
 
 
 def _keyed(table: DataFrame, columns: list[str], value: str, kind: str, vocab: Blocks) -> DataFrame:
@@ -268,31 +319,59 @@ def _keyed(table: DataFrame, columns: list[str], value: str, kind: str, vocab: B
     return table.select(*columns, value).mapInArrow(run, schema).select(F.lit(kind).alias("kind"), "key", "value")
 
 
-def train(texts: DataFrame) -> dict | None:
+def train(texts: DataFrame, slice_words: int = SLICE_WORDS) -> dict | None:
     """Fit on ``(text)`` rows: the tables ``p1, g1, p2, g2, p3`` of log10 probabilities and back-off weights as blocks
-    (bounded by the sample), and the log10 probability ``unknown``.  The files belong to the open scope."""
-    seq = sequences(texts)
-    vocab = vocabulary(seq)
-    tri = staged(trigrams(seq, vocab), "kn-trigrams")
-    bi = staged(tri.groupBy("v", "w").agg(F.count(F.lit(1)).cast("int").alias("c")), "kn-bigrams")
-    uni = staged(bi.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "kn-unigrams")
-    n_words = uni.count()
-    if not n_words:
-        return None
-    uniform = 1.0 / (n_words + 1)  # one share for all unknown words
-    d1, d2, d3 = discounts(uni)
-    discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-    total, freed = uni.agg(F.sum("c"), F.sum(discount)).first()
-    g0 = freed / total
-    p1 = uni.select("w", ((F.col("c") - discount) / F.lit(total) + F.lit(g0 * uniform)).alias("p"))
-    p2 = staged(_order(bi, ["v"], p1, discounts(bi)), "kn-p2")
-    p3 = staged(_order(tri, ["u", "v"], p2.drop("g"), discounts(tri)), "kn-p3")
-    unstaged(tri)
-    rows = (_keyed(p1, ["w"], "p", "p1", vocab).union(_keyed(p2.where("g is not null"), ["v"], "g", "g1", vocab))
-            .union(_keyed(p2, ["v", "w"], "p", "p2", vocab)).union(_keyed(p3.where("g is not null"), ["u", "v"], "g", "g2", vocab))
-            .union(_keyed(p3, ["u", "v", "w"], "p", "p3", vocab)))
-    tables = write_blocks(rows, work_dir(texts.sparkSession, "kn-model"))
-    return {**{k: tables.get(k, Blocks([])) for k in ("p1", "g1", "p2", "g2", "p3")}, "unknown": float(np.log10(g0 * uniform))}
+    (bounded by the sample), and the log10 probability ``unknown``.  The files belong to the open scope.
+
+    A slice holds all n-grams with one of its words before the last: with ``slice_words`` words a slice, and ``2 ** SLICE_BITS``
+    slices at most, its tables are that share of all.
+    """
+    spark = texts.sparkSession
+    with shuffles_freed(spark):
+        seq = sequences(texts)
+        vocab = vocabulary(seq)
+        seq = staged(numbered_words(seq, vocab), "kn-sequences")
+        size = seq.agg(F.sum(F.size("k"))).first()[0] or 0
+        parts = 1
+        while parts < 1 << SLICE_BITS and parts * slice_words < size:
+            parts *= 2
+        tri = [staged(trigrams(seq, vocab, i, parts), "kn-trigrams") for i in range(parts)]
+        unstaged(seq)  # nothing reads the texts any more
+        bi = [staged(t.groupBy("v", "w").agg(F.count(F.lit(1)).cast("int").alias("c")), "kn-bigrams") for t in tri]
+        every_tri, every_bi = (functools.reduce(DataFrame.union, x) for x in (tri, bi))
+        uni = staged(every_bi.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "kn-unigrams")
+        n_words = uni.count()
+        if not n_words:
+            return None
+        uniform = 1.0 / (n_words + 1)  # one share for all unknown words
+        d1, d2, d3 = discounts(uni)
+        discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
+        total, freed = uni.agg(F.sum("c"), F.sum(discount)).first()
+        g0 = freed / total
+        p1 = uni.select("w", ((F.col("c") - discount) / F.lit(total) + F.lit(g0 * uniform)).alias("p"))
+        of_bi, of_tri = discounts(every_bi), discounts(every_tri)
+        first, backs = _keyed(p1, ["w"], "p", "p1", vocab), []
+        written = [write_blocks(first, work_dir(spark, "kn-model"))]
+        for t, b in zip(tri, bi):
+            p2 = staged(_order(b, ["v"], p1, of_bi), "kn-p2")
+            unstaged(b)
+            p3 = staged(_order(t, ["u", "v"], p2.drop("g"), of_tri), "kn-p3")
+            unstaged(t)
+            rows = (_keyed(p2.where("g is not null"), ["v"], "g", "g1", vocab).union(_keyed(p2, ["v", "w"], "p", "p2", vocab))
+                    .union(_keyed(p3, ["u", "v", "w"], "p", "p3", vocab)))
+            written.append(write_blocks(rows, work_dir(spark, "kn-model")))
+            # contexts of two words begin with the other word: their keys lie in all slices and are sorted at the end
+            backs.append(staged(_keyed(p3.where("g is not null"), ["u", "v"], "g", "g2", vocab), "kn-backs"))
+            unstaged(p2)
+            unstaged(p3)
+        every = functools.reduce(DataFrame.union, backs)
+        lead = F.shiftright("key", 64 - SLICE_BITS) + (1 << SLICE_BITS - 1)
+        for i in range(parts):
+            written.append(write_blocks(every.where(F.shiftright(lead * parts, SLICE_BITS) == i), work_dir(spark, "kn-model")))
+        for x in backs:
+            unstaged(x)
+    tables = {k: Blocks([f for x in written if k in x for f in x[k].files]) for k in ("p1", "g1", "p2", "g2", "p3")}
+    return {**tables, "unknown": float(np.log10(g0 * uniform))}
 
 
 def _find(table: Blocks, keys: np.ndarray, default: float) -> tuple[np.ndarray, np.ndarray]:
@@ -305,15 +384,15 @@ def log10_probs(model: dict, keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
     u, v, w = keys[:-2], keys[1:-1], keys[2:]
     real = w != START_KEY
     u, v, w = u[real], v[real], w[real]
-    hit1, p1 = _find(model["p1"], _mix(w), model["unknown"])
-    hit2, p2 = _find(model["p2"], _mix(v, w), 0.0)
-    miss2 = ~hit2
-    p2[miss2] = p1[miss2] + _find(model["g1"], _mix(v[miss2]), 0.0)[1]
-    hit3, p3 = _find(model["p3"], _mix(u, v, w), 0.0)
-    miss3 = ~hit3
-    p3[miss3] = p2[miss3] + _find(model["g2"], _mix(u[miss3], v[miss3]), 0.0)[1]
+    hit, p = _find(model["p3"], _mix(u, v, w), 0.0)
+    at = np.flatnonzero(~hit)  # of these words the lower orders are asked, and the weights they are taken with
+    u, v, w = u[at], v[at], w[at]
+    hit, p2 = _find(model["p2"], _mix(v, w), 0.0)
+    miss = ~hit
+    p2[miss] = _find(model["p1"], _mix(w[miss]), model["unknown"])[1] + _find(model["g1"], _mix(v[miss]), 0.0)[1]
+    p[at] = p2 + _find(model["g2"], _mix(u, v), 0.0)[1]
     starts = np.concatenate([[0], ends[:-1]]) - 2 * np.arange(len(ends))
-    return np.add.reduceat(p3, starts)
+    return np.add.reduceat(p, starts)
 
 
 def perplexities(docs: DataFrame, model: dict | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -396,14 +475,16 @@ def classify(docs: DataFrame, labels: DataFrame, max_docs: int | None = None, ma
             sample = training_sample(docs, trusted, MAX_DOCS if max_docs is None else max_docs, MAX_WORDS if max_words is None else max_words,
                                      id_col, text_col, lang_col)
         sample = staged(sample, "kn-sample")
+        learned = staged(sample.select("id"), "kn-learned")
         model = train(sample.select("text"))
+        unstaged(sample)
         columns = list(dict.fromkeys([*(docs.columns if keep is None else keep), id_col, lang_col]))
         rows = perplexities(docs, model, text_col, columns)
         if model is not None:
             rows = own.hand_over(staged(rows, "kn-scored"))
             scored = (rows.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{lang_col}`").cast("string").alias("lang"),
                                   "n_tokens", "log10_prob")
-                      .join(trusted, "id", "left_semi").join(sample.select("id"), "id", "left_anti"))
+                      .join(trusted, "id", "left_semi").join(learned, "id", "left_anti"))
             limits = thresholds(scored, quantile, slack, min_calibration).collect()  # a row per language
     by_lang = spark.createDataFrame([(r["lang"], r["mean"], r["threshold"]) for r in limits if not r["every"]],
                                     "l string, mean double, lim double")
