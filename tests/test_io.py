@@ -109,3 +109,27 @@ def test_hits_and_itemset_writers(spark):
     write_itemsets(spark.createDataFrame([([1, 2], 2, 5), ([3], 1, 9)], "items array<long>, size int, support long"),
                    os.path.join(d, "sets"))
     assert [r.value for r in spark.read.text(os.path.join(d, "sets")).collect()] == ["3: 9", "1,2: 5"]
+
+
+def test_io_ratings_shuffles_lines_once_and_writes_them_in_order(spark, tmp_path, monkeypatch):
+    from quarry.plans import catalog
+    orders = spark.createDataFrame([(k, None if k % 7 == 0 else k % 5) for k in range(1, 60)], "o_orderkey long, o_custkey long")
+    lines = spark.createDataFrame([(k, None if n == 3 else k * n % 11, float(k + n), n) for k in range(1, 70) for n in range(1, 5)],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_linenumber long")
+    for name, rows in (("orders", orders), ("lineitem", lines.union(lines))):
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    plans, write = [], catalog.writers.write_ratings
+
+    def seen(df, path, **options):
+        plans.append(df.orderBy("user", "item")._jdf.queryExecution().executedPlan().toString())
+        write(df, path, **options)
+    monkeypatch.setattr(catalog.writers, "write_ratings", seen)
+    out = catalog.q_io_ratings(spark, str(tmp_path))
+    got = {(r.user, r.item): r.rating for r in out.collect()}
+    assert len(got) == out.count() > 0
+    same = catalog.inputs.customer_part_ratings(spark, str(tmp_path)).collect()
+    assert got == {(r.user, r.item): r.rating for r in same}
+    assert plans[0].count("rangepartitioning") == 1 and "hashpartitioning(user" not in plans[0] and "hashpartitioning(o_custkey" not in plans[0]
+    key = [tuple((x is not None, x) for x in (r.user, r.item)) for f in sorted({x.f for x in out.selectExpr("input_file_name() f").collect()})
+           for r in catalog.readers.read_ratings(spark, f, "user", "movie", "rating").collect()]
+    assert key == sorted(key)
