@@ -163,7 +163,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     ranks = spark.sparkContext.broadcast(gram_ranks(words))
     index, probes = _entries(words, ranks, False).alias("r"), _entries(words, ranks, True).alias("s")
     near = ((F.col("s.key") == F.col("r.key")) & (F.col("s.last") <= F.col("r.last")) & (F.levenshtein("s.word", "r.word", 1) == 1))
-    found = probes.join(index, near).select(F.least("s.word", "r.word").alias("a"), F.greatest("s.word", "r.word").alias("b"))
+    # a word has tens of entries, which the planner takes for one: without the hint it may gather the whole index on the driver
+    found = probes.join(index.hint("merge"), near).select(F.least("s.word", "r.word").alias("a"), F.greatest("s.word", "r.word").alias("b"))
     out = staged(found.distinct(), "spelling-pairs")
     ranks.destroy()
     return out

@@ -200,6 +200,18 @@ def test_pivots_are_disjoint_and_least(spark):
             assert got[1] - got[0] >= 2 and own[got[0]] + own[got[1]] == min(pairs)[0]
 
 
+def test_entries_of_words_are_never_gathered(spark, monkeypatch):
+    words = spelling.staged(spark.createDataFrame([("spelling", 5), ("speling", 3), ("another", 4)], "word string, n long"), "words")
+    plans = []
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    monkeypatch.setattr(spelling, "staged", planned)
+    spelling.near_pairs(words)
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_spelling_of_tables_without_words(spark):
     for texts in ([], [None, "", "a b c"], ["rareword other"]):
         docs = docs_of(spark, texts) if texts else docs_of(spark, ["x"]).limit(0)
