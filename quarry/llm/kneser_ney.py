@@ -33,8 +33,6 @@ perplexity; repeated rows score alike; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +44,7 @@ from pyspark.sql import Window
 
 from quarry.llm.binary_sink import mapped_bytes, write_blobs
 from quarry.llm.common import WORD, map_columns, packed, scope, small_batches, staged, strings, unstaged, work_dir
+from quarry.plans.lineage import shuffles_freed
 from quarry.plans.order import numbered
 
 START_KEY, END_KEY = 1, 2  # no 64-bit hash of a word is assumed to be these
@@ -57,21 +56,6 @@ MAX_DOCS, MAX_WORDS = 8_000, 5_000_000  # the other bound, where a caller gives
 SEEN_WORDS = 60_000  # words of which a scoring task keeps the keys
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries run inside are deleted when the query ends, and not when the driver happens to collect garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """``(id)``: the documents labelled as good and not toxic."""
     return (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select(F.col("doc_id").alias("id"))
